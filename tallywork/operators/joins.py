@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 Keys = Sequence[tuple[str, str]]
 
 
-def _condition(left: DataFrame, right: DataFrame, on: Keys) -> Column:
-    return reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in on])
+def _key_set(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Distinct keys under names of their own, so that they clash with no other column."""
+    return df.select(*[F.col(n).alias(f"_key_{i}") for i, n in enumerate(names)]).distinct()
 
 
-def _key_set(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*names).distinct()
+def _equal(pairs: Keys) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in pairs])
+
+
+def _against_keys(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFrame:
+    keys = _key_set(right, [r for _, r in on])
+    return left.join(keys, _equal([(l, f"_key_{i}") for i, (l, _) in enumerate(on)]), how)
 
 
 def having_match(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
@@ -24,14 +30,12 @@ def having_match(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
 
     The right side is cut to its distinct keys before the shuffle.
     """
-    keys = _key_set(right, [r for _, r in on])
-    return left.join(keys, _condition(left, keys, on), "left_semi")
+    return _against_keys(left, right, on, "left_semi")
 
 
 def without_match(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
     """Left rows without a match (anti join); a null key never matches, so its row stays."""
-    keys = _key_set(right, [r for _, r in on])
-    return left.join(keys, _condition(left, keys, on), "left_anti")
+    return _against_keys(left, right, on, "left_anti")
 
 
 def _with_null_columns(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -51,7 +55,7 @@ def outer_join(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFra
     shared = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
     if shared:
         raise ValueError(f"rename before the join: {', '.join(sorted(shared))}")
-    result = left.join(right, _condition(left, right, on), "inner")
+    result = left.join(right, _equal(on), "inner")
     if how in ("left", "full"):
         result = result.unionByName(_with_null_columns(without_match(left, right, on), right))
     if how in ("right", "full"):
@@ -66,9 +70,9 @@ def contains_join(left: DataFrame, array: str, right: DataFrame, element: str) -
     ``array_contains`` as a join condition compares every pair of rows. Here each distinct
     array element becomes a row and meets the other side in an equi-join.
     """
-    item = "_array_item"
-    exploded = left.withColumn(item, F.explode(F.array_distinct(array)))
-    return exploded.join(right, exploded[item] == right[element], "inner").drop(item)
+    exploded = left.withColumn("_item", F.explode(F.array_distinct(array)))
+    elements = right.withColumn("_element", F.col(element))
+    return exploded.join(elements, _equal([("_item", "_element")])).drop("_item", "_element")
 
 
 def is_small(df: DataFrame, max_rows: int, max_bytes: int) -> bool:

@@ -27,8 +27,12 @@ def top_rows(df: DataFrame, measure: str, k: int, ties: Sequence[str]) -> DataFr
     return df.orderBy(F.desc(measure), *ties).limit(k)
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def _join_same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Equi-join on equal names in which null equals null; the names are kept once."""
+    renamed = right.withColumnsRenamed({name: f"_same_{name}" for name in names})
+    same = [F.col(name).eqNullSafe(F.col(f"_same_{name}")) for name in names]
+    joined = left.join(renamed, reduce(lambda a, b: a & b, same))
+    return joined.drop(*[f"_same_{name}" for name in names])
 
 
 def value_ranks(
@@ -61,9 +65,9 @@ def value_ranks(
         F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_values_above"),
         F.max("_top").over(before).alias("_max_above"),
     )
-    joined = local.join(shifts, _same(local, shifts, [*keys, "_bucket"]))
-    return joined.select(
-        *[local[name] for name in [*keys, order]],
+    return _join_same(local, shifts, [*keys, "_bucket"]).select(
+        *keys,
+        order,
         (F.col("rank") + F.col("_rows_above")).alias("rank"),
         (F.col("dense_rank") + F.col("_values_above")).alias("dense_rank"),
         F.greatest("running_max", "_max_above").alias("running_max"),
@@ -90,7 +94,4 @@ def with_ranks(
     Rows meet their ranks in an equi-join on keys and value, which AQE can split where one
     value is hot; a window over the rows themselves would sort each key in a single task.
     """
-    ranks = value_ranks(df, keys, order, bucket)
-    return df.join(ranks, _same(df, ranks, [*keys, order])).select(
-        *[df[name] for name in df.columns], "rank", "dense_rank", "running_max"
-    )
+    return _join_same(df, value_ranks(df, keys, order, bucket), [*keys, order])

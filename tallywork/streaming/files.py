@@ -58,8 +58,9 @@ def latest_updates(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str]
 ) -> DataFrame:
     """The running result: for each key the row of the last batch that changed it."""
-    updates = spark.read.schema(schema.add("batch_id", "bigint")).parquet(path)
-    rest = [f.name for f in schema if f.name not in keys and f.name != "batch_id"]
+    with_batch = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+    updates = spark.read.schema(with_batch).parquet(path)
+    rest = [name for name in schema.fieldNames() if name not in keys]
     return (
         updates.groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), "batch_id").alias("_last"))
