@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from tallywork.plans import files, rows  # noqa: F401
+from tallywork.plans import files, learning, matching, rows, streams, summaries, values  # noqa: F401
 from tallywork.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
