@@ -76,27 +76,35 @@ def value_lists(
     )
 
 
-def _level_sums(detail: DataFrame, keys: Sequence[str], measure: str, kind: str) -> DataFrame:
-    grouped = detail.rollup(*keys) if kind == "rollup" else detail.cube(*keys)
+def _level_sums(
+    df: DataFrame, keys: Sequence[str], measure: str, kind: str, combine_first: bool
+) -> DataFrame:
+    if combine_first:
+        df = df.groupBy(*keys).agg(F.sum(measure).alias(measure))
+    grouped = df.rollup(*keys) if kind == "rollup" else df.cube(*keys)
     return grouped.agg(
         F.grouping_id().alias("level"), F.sum(measure).alias(f"total_{measure}")
     )
 
 
-def rollup_sums(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+def rollup_sums(
+    df: DataFrame, keys: Sequence[str], measure: str, combine_first: bool = True
+) -> DataFrame:
     """Sums of every leading part of the keys down to the grand total.
 
-    ``level`` is the grouping id, which tells a subtotal's null from a null in the data. Rows
-    are summed to the full keys first, so only those sums are multiplied by the levels.
+    ``level`` is the grouping id, which tells a subtotal's null from a null in the data.
+    Every row is multiplied by the number of levels. ``combine_first`` sums to the full keys
+    before that, which pays where many rows share their keys; switch it off where few do, as
+    it costs a shuffle.
     """
-    detail = df.groupBy(*keys).agg(F.sum(measure).alias(measure))
-    return _level_sums(detail, keys, measure, "rollup")
+    return _level_sums(df, keys, measure, "rollup", combine_first)
 
 
-def cube_sums(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+def cube_sums(
+    df: DataFrame, keys: Sequence[str], measure: str, combine_first: bool = True
+) -> DataFrame:
     """As ``rollup_sums`` for every subset of the keys."""
-    detail = df.groupBy(*keys).agg(F.sum(measure).alias(measure))
-    return _level_sums(detail, keys, measure, "cube")
+    return _level_sums(df, keys, measure, "cube", combine_first)
 
 
 def bounded_values(df: DataFrame, column: str, at_most: int) -> list:

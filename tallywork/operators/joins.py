@@ -20,9 +20,24 @@ def _equal(pairs: Keys) -> Column:
     return reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in pairs])
 
 
+def _equal_in_own_shuffle(left: DataFrame, right: DataFrame, pairs: Keys) -> Column:
+    """Equal keys, and equal hashes of them.
+
+    AQE splits a hot key only if both sides of a join are shuffled for that join. A side that
+    a grouping has left partitioned by the key would not be; the hash as one more key has it
+    shuffled again. Keys of unlike types hash differently and go without.
+    """
+    same = _equal(pairs)
+    if any(left.schema[l].dataType != right.schema[r].dataType for l, r in pairs):
+        return same
+    left_hash = F.xxhash64(*[F.col(l) for l, _ in pairs])
+    return same & (left_hash == F.xxhash64(*[F.col(r) for _, r in pairs]))
+
+
 def _against_keys(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFrame:
     keys = _key_set(right, [r for _, r in on])
-    return left.join(keys, _equal([(l, f"_key_{i}") for i, (l, _) in enumerate(on)]), how)
+    pairs = [(l, f"_key_{i}") for i, (l, _) in enumerate(on)]
+    return left.join(keys, _equal_in_own_shuffle(left, keys, pairs), how)
 
 
 def having_match(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
@@ -72,7 +87,8 @@ def contains_join(left: DataFrame, array: str, right: DataFrame, element: str) -
     """
     exploded = left.withColumn("_item", F.explode(F.array_distinct(array)))
     elements = right.withColumn("_element", F.col(element))
-    return exploded.join(elements, _equal([("_item", "_element")])).drop("_item", "_element")
+    same = _equal_in_own_shuffle(exploded, elements, [("_item", "_element")])
+    return exploded.join(elements, same).drop("_item", "_element")
 
 
 def is_small(df: DataFrame, max_rows: int, max_bytes: int) -> bool:

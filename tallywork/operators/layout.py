@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 
+def partitions_for(df: DataFrame, rows: int) -> int:
+    """How many partitions of about ``rows`` rows the frame fills. Counts it once."""
+    return max(1, -(-df.count() // rows))
+
+
 def spread(df: DataFrame, column: str, partitions: int | None = None, salts: int = 1) -> DataFrame:
     """Bring equal values together, while a hot value may still fill several partitions.
 

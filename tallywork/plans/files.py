@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywork.operators.layout import spread
 from tallywork.plans.registry import on_flights, query
 from tallywork.session import scratch_path
 from tallywork.sources.readers import bind, load_or_empty, read_csv, read_json, read_parquet
@@ -13,6 +14,9 @@ from tallywork.sources.tables import Tables, flights
 from tallywork.sources.writers import write_csv, write_json, write_parquet
 from tallywork.streaming.files import append_files, read_files, to_memory_table
 
+# Files per micro-batch: a rate limit, in proportion to a source of many files.
+FILES_PER_TRIGGER = 1_000
+
 FLIGHT_SCHEMA = T.StructType(
     [
         T.StructField("dest_country_name", T.StringType(), True),
@@ -69,7 +73,7 @@ def _events_out(df: DataFrame) -> DataFrame:
     """,
 )
 def src_range(t: Tables) -> DataFrame:
-    highest = t.orders.agg(F.max("o_orderkey")).first()[0]
+    highest = t.orders.agg(F.coalesce(F.max("o_orderkey"), F.lit(-1))).first()[0]
     numbers = t.spark.range(highest + 1).toDF("number")
     lines = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
     return numbers.join(lines, F.col("number") == F.col("l_orderkey"), "left").select(
@@ -108,8 +112,8 @@ def src_csv_schema(t: Tables) -> DataFrame:
 
 @query("src_csv_glob", _ORDERS_SQL)
 def src_csv_glob(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "orders-by-status")
-    write_csv(t.orders.repartition("o_orderpriority"), path)
+    path = scratch_path(t.spark, "orders-by-priority")
+    write_csv(spread(t.orders, "o_orderpriority"), path)
     return _orders_out(read_csv(t.spark, f"{path}/*.csv", schema=t.orders.schema))
 
 
@@ -130,7 +134,7 @@ def src_json_schema(t: Tables) -> DataFrame:
 @query("src_json_glob", _EVENTS_SQL)
 def src_json_glob(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "events-by-type")
-    write_json(t.events.repartition("event_type"), path)
+    write_json(spread(t.events, "event_type"), path)
     return _events_out(read_json(t.spark, f"{path}/*.json", schema=t.events.schema))
 
 
@@ -228,7 +232,7 @@ def src_guarded(t: Tables) -> DataFrame:
 def src_stream_files(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "events-stream")
     stream = read_files(
-        t.spark, t.stream_path("events"), t.events.schema, files_per_trigger=1
+        t.spark, t.stream_path("events"), t.events.schema, files_per_trigger=FILES_PER_TRIGGER
     )
     append_files(stream, path, scratch_path(t.spark, "checkpoint")).awaitTermination()
     return _events_out(t.spark.read.schema(t.events.schema).parquet(path))
@@ -279,7 +283,9 @@ def sink_parquet(t: Tables) -> DataFrame:
 def sink_stream_memory(t: Tables) -> DataFrame:
     checkpoint = scratch_path(t.spark, "checkpoint")
     name = "events_by_type_" + checkpoint.rsplit("-", 1)[1]
-    stream = read_files(t.spark, t.stream_path("events"), t.events.schema, files_per_trigger=1)
+    stream = read_files(
+        t.spark, t.stream_path("events"), t.events.schema, files_per_trigger=FILES_PER_TRIGGER
+    )
     totals = stream.groupBy("event_type").agg(
         F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value")
     )

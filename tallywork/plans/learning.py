@@ -14,7 +14,7 @@ from tallywork.operators.clustering import (
     split_at,
     with_weekday,
 )
-from tallywork.operators.layout import kept, partition_profile, spread
+from tallywork.operators.layout import kept, partition_profile, partitions_for, spread
 from tallywork.plans.registry import on_retail, query
 from tallywork.session import scratch_path
 from tallywork.sources.tables import Tables, retail
@@ -211,9 +211,14 @@ def ml_kmeans_cost(t: Tables) -> DataFrame:
 # --- layout --------------------------------------------------------------------------------
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
 @query("lay_coalesce", "SELECT o_orderkey, o_custkey FROM orders")
 def lay_coalesce(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", "o_custkey").coalesce(5)
+    # The number follows the table: a fixed one would leave a large cluster idle.
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    return orders.coalesce(partitions_for(orders, ROWS_PER_PARTITION))
 
 
 @query(
@@ -225,10 +230,13 @@ def lay_coalesce(t: Tables) -> DataFrame:
 )
 def lay_repartition(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_orderpriority")
+    number = partitions_for(orders, ROWS_PER_PARTITION)
     ways = {
-        "by number": orders.repartition(5),
+        "by number": orders.repartition(number),
         "by column": spread(orders, "o_orderpriority"),
-        "by both": spread(orders, "o_orderpriority", partitions=5, salts=4).coalesce(2),
+        "by both": spread(orders, "o_orderpriority", partitions=2 * number, salts=number).coalesce(
+            number
+        ),
     }
     by_number, by_column, by_both = [df.withColumn("way", F.lit(w)) for w, df in ways.items()]
     return by_number.union(by_column).union(by_both)

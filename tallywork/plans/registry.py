@@ -68,6 +68,19 @@ flights AS (
 )"""
 
 
+_STOCK = """
+stock AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS stock_code,
+         CASE WHEN p_partkey % 50 <> 0 THEN upper(p_name) END AS description,
+         p_retailprice AS unit_price
+  FROM part
+)"""
+
+
+def on_stock(select: str) -> str:
+    return f"WITH {_STOCK.strip()}\n{select.strip()}"
+
+
 def on_retail(select: str) -> str:
     return f"WITH {_RETAIL.strip()}\n{select.strip()}"
 

@@ -25,9 +25,13 @@ def st_schema_reuse(t: Tables) -> DataFrame:
     return t.spark.read.schema(purchases.schema).parquet(path)
 
 
+# Files per micro-batch: a rate limit, in proportion to a source of many files.
+FILES_PER_TRIGGER = 1_000
+
+
 def _running_spend(t: Tables) -> DataFrame:
     stream = read_files(
-        t.spark, t.stream_path("events"), t.events.schema, files_per_trigger=1
+        t.spark, t.stream_path("events"), t.events.schema, files_per_trigger=FILES_PER_TRIGGER
     )
     spend = daily_spend(stream, "user_id", "ts", "value")
     path = scratch_path(t.spark, "spend")

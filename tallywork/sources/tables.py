@@ -46,6 +46,16 @@ def signed_quantity() -> Column:
     return F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).cast("int")
 
 
+def stock(tables: Tables) -> DataFrame:
+    """One row per part: code, description (null for some) and price."""
+    return tables.part.select(
+        F.col("p_partkey").cast("string").alias("stock_code"),
+        F.when(F.col("p_partkey") % 50 != 0, F.upper("p_name")).alias("description"),
+        F.col("p_retailprice").alias("unit_price"),
+        "p_partkey",
+    )
+
+
 def order_facts(tables: Tables, *columns: str) -> DataFrame:
     """One row per order: key, time, customer (null for some) and the customer's country."""
     facts = tables.orders.select(
@@ -81,11 +91,7 @@ def retail(tables: Tables, *columns: str) -> DataFrame:
     )
     from_part = [name for name in wanted if name in _FROM_PART]
     if from_part:
-        parts = tables.part.select(
-            "p_partkey",
-            F.when(F.col("p_partkey") % 50 != 0, F.upper("p_name")).alias("description"),
-            F.col("p_retailprice").alias("unit_price"),
-        ).select("p_partkey", *from_part)
+        parts = stock(tables).select("p_partkey", *from_part)
         df = df.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     from_order = [name for name in wanted if name in _FROM_ORDER]
     if from_order:
