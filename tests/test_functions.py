@@ -1,0 +1,166 @@
+"""Scalar helpers: text, dates, nulls, nested values and user-defined functions."""
+
+import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from support import rows
+from tallywork.functions.dates import (
+    as_date,
+    as_timestamp,
+    date_or_null,
+    day_window,
+    later_than,
+    weekday,
+)
+from tallywork.functions.nested import explode_words, word_at, words
+from tallywork.functions.nulls import first_present
+from tallywork.functions.numbers import number_or_null, squared_plus
+from tallywork.functions.text import contains_any, first_word_of, mask_words, word_flags
+from tallywork.functions.udfs import power3, power3_native, register_udfs
+
+# The words to look for.
+COLOURS = ["BLACK", "WHITE", "RED", "GREEN", "BLUE"]
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*columns).first())
+
+
+def test_word_lists(spark):
+    text = F.lit("RED MUG ON WHITE TRAY")
+    assert one(
+        spark,
+        mask_words(text, COLOURS, "COLOR"),
+        first_word_of(text, COLOURS),
+        first_word_of(F.lit("MUG"), COLOURS),
+        contains_any(text, ["BLUE", "TRAY"]),
+        *word_flags(text, ["WHITE", "BLACK"]),
+    ) == ("COLOR MUG ON COLOR TRAY", "RED", "", True, True, False)
+
+
+def test_words_are_taken_literally(spark):
+    assert one(spark, mask_words(F.lit("A.B AXB"), ["A.B"], "-")) == ("- AXB",)
+
+
+def test_text_functions(spark):
+    assert one(
+        spark,
+        F.translate(F.lit("LEET TEA"), "LEET", "1337"),
+        F.initcap(F.lit("WHITE metal LANTERN")),
+        F.lpad(F.lit("HELLO"), 3, " "),
+        F.rpad(F.lit("HELLO"), 10, " "),
+        F.ltrim(F.lit("    HELLO    ")),
+        F.rtrim(F.lit("    HELLO    ")),
+    ) == ("1337 73A", "White Metal Lantern", "HEL", "HELLO     ", "HELLO    ", "    HELLO")
+
+
+def test_rounding(spark):
+    assert one(
+        spark,
+        F.round(F.lit("2.5")),
+        F.bround(F.lit("2.5")),
+        squared_plus(F.lit(3.0), 5, 1),
+        number_or_null(F.lit("C536365")),
+        number_or_null(F.lit("536365")),
+    ) == (3.0, 2.0, 14.0, None, 536365.0)
+
+
+def test_dates(spark):
+    assert one(
+        spark,
+        date_or_null(F.lit("2017-12-11")),
+        date_or_null(F.lit("2016-20-12")),
+        date_or_null(F.lit("2017-20-12"), "yyyy-dd-MM"),
+        F.datediff(F.date_sub(F.current_date(), 7), F.current_date()),
+        F.round(F.months_between(F.to_date(F.lit("2016-01-01")), F.to_date(F.lit("2017-05-22"))), 8),
+    ) == (datetime.date(2017, 12, 11), None, datetime.date(2017, 12, 20), -7, -16.67741935)
+
+
+def test_plain_cast_of_a_bad_date_raises(spark):
+    with pytest.raises(PySparkException):
+        one(spark, F.to_date(F.lit("2016-20-12")))
+
+
+def test_dates_from_any_type(spark):
+    df = spark.sql(
+        "SELECT '12/1/2010 8:26' AS text, timestamp_ntz'2010-12-01 08:26:00' AS ntz, "
+        "date'2010-12-01' AS day, '2010-01-12' AS swapped"
+    )
+    day = datetime.date(2010, 12, 1)
+    found = df.select(
+        as_date(df, "text", "MM/d/yyyy H:mm"),
+        as_date(df, "ntz", "MM/d/yyyy H:mm"),
+        as_date(df, "day"),
+        as_timestamp(df, "swapped", "yyyy-dd-MM").cast("date"),
+        as_timestamp(df, "day").cast("date"),
+    ).first()
+    assert tuple(found) == (day,) * 5
+
+
+def test_comparison_with_a_text_that_is_no_date(spark):
+    df = spark.sql("SELECT date'2017-12-25' AS d")
+    assert df.where(later_than(F.col("d"), "2017-12-20")).count() == 1
+    assert df.where(later_than(F.col("d"), "'2017-12-20'")).count() == 0
+
+
+def test_weekday_and_day_window(spark):
+    df = spark.sql("SELECT timestamp_ntz'2010-12-01 08:26:00' AS ts")
+    window = day_window(F.col("ts"))
+    found = df.select(weekday(F.col("ts")), window.alias("w")).select("*", "w.*").first()
+    assert found[0] == "Wednesday"
+    assert (found.start, found.end) == (
+        datetime.datetime(2010, 12, 1),
+        datetime.datetime(2010, 12, 2),
+    )
+
+
+def test_current_time_is_one_value_per_query(spark):
+    df = spark.range(1000, numPartitions=4).select(F.current_timestamp().alias("now"))
+    assert df.distinct().count() == 1
+
+
+def test_first_present_of_unlike_types(spark):
+    df = spark.createDataFrame([(None, 7), ("x", 7), (None, None)], "s string, n int")
+    assert rows(df.select(first_present(F.col("s"), F.col("n")))) == [(None,), ("7",), ("x",)]
+
+
+def test_null_filling(spark):
+    df = spark.createDataFrame([(None, None), ("x", 1)], "s string, n int")
+    assert rows(df.na.fill("none")) == [("none", None), ("x", 1)]
+    assert rows(df.na.fill(5, subset=["s", "n"])) == [(None, 5), ("x", 1)]
+    assert rows(df.na.fill({"s": 5, "n": 6})) == [("5", 6), ("x", 1)]
+    assert df.na.drop("all").count() == 1
+    assert df.drop().count() == 2
+
+
+def test_nested_values(spark):
+    df = spark.createDataFrame([("WHITE MUG",), (None,), ("",)], "s string")
+    text = F.col("s")
+    assert rows(df.select(word_at(text, 0), word_at(text, 5))) == [
+        (None, None),
+        ("", None),
+        ("WHITE", None),
+    ]
+    assert rows(explode_words(df, "s", "w"), "w") == [("",), ("MUG",), ("WHITE",)]
+    assert explode_words(df, "s", "w", keep_empty=True).count() == 4
+    assert rows(df.select(F.array_contains(words(text), "WHITE"))) == [(None,), (False,), (True,)]
+
+
+def test_null_map_key_raises(spark):
+    df = spark.createDataFrame([(None, 1)], "k string, v int")
+    with pytest.raises(PySparkException):
+        df.select(F.create_map("k", "v")).collect()
+
+
+def test_third_power_in_every_form(spark):
+    register_udfs(spark)
+    df = spark.createDataFrame([(2, 3_000_000), (None, None), (-3, 1)], "n int, big long")
+    expected = [(None, None), (-27.0, 1.0), (8.0, 2.7e19)]
+    assert sorted(rows(df.select(power3("n"), power3("big"))), key=str) == sorted(expected, key=str)
+    native = df.select(power3_native(F.col("n")), power3_native(F.col("big")))
+    assert sorted(rows(native), key=str) == sorted(expected, key=str)
+    in_sql = spark.sql("SELECT power3(n), power3(big) FROM {df}", df=df)
+    assert sorted(rows(in_sql), key=str) == sorted(expected, key=str)
