@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.dates import weekday
+from tallywork.operators.layout import kept, partitions_for
 
 
 def with_weekday(df: DataFrame, time: str) -> DataFrame:
@@ -49,8 +50,18 @@ def fit_features(
     return feature_steps(label, numeric, scale).fit(train)
 
 
-def fit_kmeans(features: DataFrame, k: int = 20, seed: int = 1) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol="features").fit(features)
+def fit_kmeans(
+    features: DataFrame, k: int = 20, seed: int = 1, rows_per_partition: int = 1_000_000
+) -> KMeansModel:
+    """Fit ``k`` centres to the feature vectors.
+
+    Every iteration reads all rows, so they are spread evenly over the cores once, whatever
+    joins left them in, and kept until the model is there.
+    """
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    number = max(cores, partitions_for(features, rows_per_partition))
+    with kept(features.select("features").repartition(number)) as training:
+        return KMeans(k=k, seed=seed, featuresCol="features").fit(training)
 
 
 def squared_distance(model: KMeansModel, features: str = "features") -> Column:

@@ -30,7 +30,13 @@ def top_rows(df: DataFrame, measure: str, k: int, ties: Sequence[str]) -> DataFr
 def _join_same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
     """Equi-join on equal names in which null equals null; the names are kept once."""
     renamed = right.withColumnsRenamed({name: f"_same_{name}" for name in names})
-    same = [F.col(name).eqNullSafe(F.col(f"_same_{name}")) for name in names]
+    same = [
+        # Plain equality has half the join keys where no null is possible.
+        F.col(name).eqNullSafe(F.col(f"_same_{name}"))
+        if left.schema[name].nullable
+        else F.col(name) == F.col(f"_same_{name}")
+        for name in names
+    ]
     joined = left.join(renamed, reduce(lambda a, b: a & b, same))
     return joined.drop(*[f"_same_{name}" for name in names])
 

@@ -185,8 +185,8 @@ def ml_stages(t: Tables) -> DataFrame:
 
 @query("ml_kmeans")
 def ml_kmeans(t: Tables) -> DataFrame:
-    with kept(_transformed_train(t)) as features:
-        model = fit_kmeans(features, k=20, seed=1)
+    features = _transformed_train(t)
+    model = fit_kmeans(features, k=20, seed=1)
     return model.transform(features).groupBy("prediction").agg(F.count("*").alias("n"))
 
 
@@ -194,8 +194,7 @@ def ml_kmeans(t: Tables) -> DataFrame:
 def ml_kmeans_cost(t: Tables) -> DataFrame:
     train, test = _prepared(t)
     model = fit_features(train, LABEL, NUMERIC)
-    with kept(model.transform(train)) as features:
-        clusters = fit_kmeans(features, k=20, seed=1)
+    clusters = fit_kmeans(model.transform(train), k=20, seed=1)
     costs = [
         cluster_costs(clusters, model.transform(rows)).withColumn("part", F.lit(name))
         for rows, name in ((train, "train"), (test, "test"))
