@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywork.operators.aggregates import bounded_values
 from tallywork.operators.layout import spread
 from tallywork.plans.registry import on_flights, query
 from tallywork.session import scratch_path
@@ -281,6 +282,8 @@ def sink_parquet(t: Tables) -> DataFrame:
     """,
 )
 def sink_stream_memory(t: Tables) -> DataFrame:
+    # The table is held by the driver, so its number of rows is checked beforehand.
+    bounded_values(t.events, "event_type", at_most=1_000)
     checkpoint = scratch_path(t.spark, "checkpoint")
     name = "events_by_type_" + checkpoint.rsplit("-", 1)[1]
     stream = read_files(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,18 +185,25 @@ def ml_stages(t: Tables) -> DataFrame:
     )
 
 
+def _fitted(train: DataFrame) -> tuple[PipelineModel, KMeansModel]:
+    """Both fits read the training rows, so they are kept until the models are there."""
+    with kept(train.select(LABEL, *NUMERIC)) as rows:
+        model = fit_features(rows, LABEL, NUMERIC)
+        return model, fit_kmeans(model.transform(rows), k=20, seed=1)
+
+
 @query("ml_kmeans")
 def ml_kmeans(t: Tables) -> DataFrame:
-    features = _transformed_train(t)
-    model = fit_kmeans(features, k=20, seed=1)
-    return model.transform(features).groupBy("prediction").agg(F.count("*").alias("n"))
+    train, _ = _prepared(t)
+    model, clusters = _fitted(train)
+    assigned = clusters.transform(model.transform(train))
+    return assigned.groupBy("prediction").agg(F.count("*").alias("n"))
 
 
 @query("ml_kmeans_cost")
 def ml_kmeans_cost(t: Tables) -> DataFrame:
     train, test = _prepared(t)
-    model = fit_features(train, LABEL, NUMERIC)
-    clusters = fit_kmeans(model.transform(train), k=20, seed=1)
+    model, clusters = _fitted(train)
     costs = [
         cluster_costs(clusters, model.transform(rows)).withColumn("part", F.lit(name))
         for rows, name in ((train, "train"), (test, "test"))
