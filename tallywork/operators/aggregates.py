@@ -64,7 +64,8 @@ def value_lists(
     ``chunk``, and so never holds more than ``width`` values however large the key is.
     Nulls are left out. The lists of a key in chunk order are its whole list.
     """
-    chunk = F.floor(F.col(position) / F.lit(width)).alias("chunk")
+    # Whole-number arithmetic: large positions would lose digits as doubles.
+    chunk = F.expr(f"(`{position}` - pmod(`{position}`, {width})) div {width}").alias("chunk")
     pairs = F.when(F.col(value).isNotNull(), F.struct(position, value))
     return (
         df.groupBy(*keys, chunk)

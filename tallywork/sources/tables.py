@@ -21,6 +21,8 @@ class Tables:
         return f"{self.folder}/{name}*.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
 
@@ -72,11 +74,13 @@ def order_facts(tables: Tables, *columns: str) -> DataFrame:
     return facts.select("o_orderkey", *columns)
 
 
-def retail(tables: Tables, *columns: str) -> DataFrame:
+def retail(tables: Tables, *columns: str, distinct_lines: bool = False) -> DataFrame:
     """One row per line item with the wanted retail columns (all of them by default).
 
     Every look-up is a left join on a unique key, so leaving one out keeps the rows as they
-    are: a query on quantities alone never shuffles the line items.
+    are: a query on quantities alone never shuffles the line items. ``distinct_lines`` drops
+    lines that repeat another's invoice, part and quantity ahead of the look-ups, which follow
+    from these.
     """
     wanted = columns or RETAIL_COLUMNS
     unknown = [name for name in wanted if name not in RETAIL_COLUMNS]
@@ -89,6 +93,8 @@ def retail(tables: Tables, *columns: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("stock_code"),
         signed_quantity().alias("quantity"),
     )
+    if distinct_lines:
+        df = df.distinct()
     from_part = [name for name in wanted if name in _FROM_PART]
     if from_part:
         parts = stock(tables).select("p_partkey", *from_part)

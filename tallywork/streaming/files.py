@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallywork.sources.readers import load_or_empty
+
 
 def read_files(
     spark: SparkSession,
@@ -57,9 +59,12 @@ def keep_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 def latest_updates(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str]
 ) -> DataFrame:
-    """The running result: for each key the row of the last batch that changed it."""
+    """The running result: for each key the row of the last batch that changed it.
+
+    No batch yet means no rows.
+    """
     with_batch = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
-    updates = spark.read.schema(with_batch).parquet(path)
+    updates = load_or_empty(spark, lambda: spark.read.schema(with_batch).parquet(path), with_batch)
     rest = [name for name in schema.fieldNames() if name not in keys]
     return (
         updates.groupBy(*keys)

@@ -1,6 +1,6 @@
 """Run registered queries and their SQL side by side and compare the rows as multisets.
 
-    python tests/compare.py [names...] [--sf 0.01] [--times]
+    python tests/compare.py [names...] [--sf 0.01 | --folder DIR] [--times]
 """
 
 from __future__ import annotations
@@ -61,6 +61,24 @@ def sql_rows(connection, sql: str) -> tuple[list[str], Counter]:
     return sorted(names), multiset(names, result.fetchall())
 
 
+# Spark's names of the types that results are made of, and DuckDB's.
+TYPE_NAMES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_differences(connection, df, sql: str) -> dict:
+    """Columns whose types differ: name to (Spark, DuckDB)."""
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    theirs = {row[0]: str(row[1]) for row in described}
+    ours = {name: TYPE_NAMES.get(kind, kind) for name, kind in df.dtypes}
+    return {n: (ours.get(n), theirs.get(n)) for n in ours | theirs if ours.get(n) != theirs.get(n)}
+
+
 def difference(spark_side, sql_side) -> str | None:
     """None if equal, else a short account of what differs."""
     if spark_side[0] != sql_side[0]:
@@ -81,9 +99,10 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("names", nargs="*")
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--folder", help="tables elsewhere, such as skewed ones")
     parser.add_argument("--times", action="store_true")
     arguments = parser.parse_args()
-    folder = f"/root/testdata/sf{arguments.sf}"
+    folder = arguments.folder or f"/root/testdata/sf{arguments.sf}"
     spark = build_session(
         master="local[8]",
         spark__sql__shuffle__partitions="8",

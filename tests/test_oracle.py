@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
-from compare import connect, difference, spark_rows, sql_rows
+from compare import connect, difference, spark_rows, sql_rows, type_differences
 from conftest import SMALL
 from support import plan
 from tallywork.plans.catalog import REGISTRY
@@ -37,6 +37,7 @@ def test_query_gives_the_rows_of_its_sql(spark, connection, name):
     check_plan(name, plan(found))
     rows = spark_rows(found)
     if REGISTRY[name].oracle:
+        assert type_differences(connection, found, REGISTRY[name].oracle) == {}
         assert difference(rows, sql_rows(connection, REGISTRY[name].oracle)) is None
     else:
         assert rows[1].total() > 0

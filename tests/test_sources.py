@@ -159,3 +159,8 @@ def test_flights_count_every_line(tables):
     assert flights(tables).agg(F.sum("count")).first()[0] == tables.lineitem.count()
     by_key = tables.nation.select("n_name").distinct().count()
     assert by_key == tables.nation.count()
+
+
+def test_lines_made_distinct_before_their_look_ups(tables):
+    ahead = retail(tables, distinct_lines=True)
+    assert same_rows(ahead, retail(tables).distinct())

@@ -94,3 +94,10 @@ def test_csv_stream_takes_its_schema_from_a_static_read(spark, tables):
     out = scratch_path(spark, "out")
     append_files(stream, out, scratch_path(spark, "checkpoint")).awaitTermination()
     assert same_rows(spark.read.parquet(out), static)
+
+
+def test_no_batch_means_no_rows(spark, tables):
+    spend = spend_of(tables.events)
+    path = scratch_path(spark, "nothing")
+    found = latest_updates(spark, path, spend.schema, KEYS)
+    assert found.columns == spend.columns and found.isEmpty()
