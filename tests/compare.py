@@ -24,11 +24,12 @@ TABLES = (
 ).split()
 
 
-def connect(folder: str) -> duckdb.DuckDBPyConnection:
+def connect(folder: str, files: str = "") -> duckdb.DuckDBPyConnection:
+    """Views of the tables; ``files`` is the pattern below a table's path if it is a folder."""
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(
-            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')"
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet{files}')"
         )
     return connection
 
