@@ -17,8 +17,8 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def stream_path(self, name: str) -> str:
-        """A glob, since the stream source refuses the path of a single file."""
-        return f"{self.folder}/{name}*.parquet"
+        """The table's path as a glob: the stream source refuses that of a single file."""
+        return f"{self.folder}/{name[:-1]}[{name[-1]}].parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

@@ -50,6 +50,6 @@ def test_entry_and_names():
 
 def test_entry_runs(spark):
     top = entry_module.entry(spark)
-    assert top.columns == ["dest_country_name", "destination_total"]
-    totals = [row.destination_total for row in top.collect()]
+    assert top.columns == ["dest_country_name", "arrivals"]
+    totals = [row.arrivals for row in top.collect()]
     assert len(totals) == 5 and totals == sorted(totals, reverse=True)

@@ -33,11 +33,11 @@ RETAIL_FORMS = {
     "flt_contains": "SELECT invoice_no, description FROM {retail} "
     "WHERE instr(description, 'RED') >= 1 OR instr(description, 'BLUE') >= 1",
     "flt_boolcol": "SELECT unit_price, (stock_code = '99' AND (unit_price > 905 "
-    "OR instr(description, 'BLUE') >= 1)) AS is_expensive FROM {retail} "
+    "OR instr(description, 'BLUE') >= 1)) AS is_costly FROM {retail} "
     "WHERE stock_code = '99' AND (unit_price > 905 OR instr(description, 'BLUE') >= 1)",
-    "nest_explode": "SELECT description, invoice_no, exploded FROM "
+    "nest_explode": "SELECT description, invoice_no, word FROM "
     "(SELECT *, split(description, ' ') AS parts FROM {retail}) "
-    "LATERAL VIEW explode(parts) AS exploded",
+    "LATERAL VIEW explode(parts) AS word",
     "win_combined": "SELECT customer_id, CAST(date AS STRING) AS date, quantity, "
     "CAST(rank() OVER falling AS BIGINT) AS rank, "
     "CAST(dense_rank() OVER falling AS BIGINT) AS dense_rank, "
@@ -47,9 +47,9 @@ RETAIL_FORMS = {
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
 }
 FLIGHT_FORMS = {
-    "topk_group": "SELECT dest_country_name, sum(count) AS destination_total FROM {flights} "
+    "topk_group": "SELECT dest_country_name, sum(count) AS arrivals FROM {flights} "
     "GROUP BY dest_country_name ORDER BY sum(count) DESC, dest_country_name LIMIT 5",
-    "proj_global_aggexpr": "SELECT round(avg(count), 4) AS average_count, "
+    "proj_global_aggexpr": "SELECT round(avg(count), 4) AS mean_count, "
     "count(DISTINCT dest_country_name) AS destinations FROM {flights}",
     "flt_const": "SELECT * FROM {flights} WHERE dest_country_name = 'NATION_9'",
 }
@@ -81,8 +81,8 @@ def test_rollup_and_cube(spark, tables):
 
 
 def test_a_view_name_may_start_with_a_digit(spark, tables):
-    flights(tables).createOrReplaceTempView("2010_summary")
-    found = spark.sql("SELECT dest_country_name, sum(count) FROM 2010_summary GROUP BY 1")
+    flights(tables).createOrReplaceTempView("1998_flights")
+    found = spark.sql("SELECT dest_country_name, sum(count) FROM 1998_flights GROUP BY 1")
     assert found.where("`sum(count)` > 10").count() == 25
 
 
