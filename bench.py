@@ -103,6 +103,15 @@ def _plain_top(t):
     return pairs.groupBy("destination").sum("count").orderBy(F.desc("sum(count)")).limit(5)
 
 
+def _plain_semi(t):
+    customer_of = F.col("o_custkey") == F.col("c_custkey")
+    orders = t.orders.join(_customers(t), customer_of, "left_semi")
+    customers = t.customer.join(_filled(t), customer_of, "left_semi")
+    return orders.select("o_orderkey", "o_custkey").union(
+        customers.select("c_custkey", F.col("c_nationkey").cast("bigint"))
+    )
+
+
 PLAIN = {
     "topk_group": _plain_top,
     "agg_rollup": lambda t: _plain_levels(t, "rollup"),
@@ -113,9 +122,7 @@ PLAIN = {
     "join_full": lambda t: _customers(t).join(
         _filled(t), F.col("c_custkey") == F.col("o_custkey"), "full"
     ),
-    "join_semi": lambda t: t.orders.join(
-        _customers(t), F.col("o_custkey") == F.col("c_custkey"), "left_semi"
-    ),
+    "join_semi": _plain_semi,
     "join_anti": lambda t: t.orders.join(
         t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"
     ),
