@@ -22,6 +22,10 @@ SKETCH_BITS = 256
 # threshold fall below this bound with a chance under one in ten million.
 LEAST_EQUAL_BITS = 195
 ID_FILTER_BITS = 1 << 23  # of the broadcast filter of ids: 131,072 rows of one word each
+# At 0.75 some 288 of the 384 values agree, deviation 8.5.
+LEAST_EQUAL_VALUES = 245
+PART_ROWS = 2_000  # rows of a bucket that one task compares at a time
+BLOCK_SETS = 4_000  # shingle sets that one task holds at a time
 PARTNERS = 3  # candidates of a document that are checked before components are first formed
 WORD_CACHE = 200_000  # word hashes a task remembers; more are computed again
 
@@ -148,38 +152,142 @@ def _may_hold(df: DataFrame, ids: DataFrame, column: str, bits: int = ID_FILTER_
 
 
 def _sets(docs: DataFrame, ids: DataFrame, text: str, key: str, words: int) -> DataFrame:
-    """Full shingle sets (``node``, ``set`` as packed sorted hashes) of the rows with given ids."""
+    """Full shingle sets of the rows with given ids.
+
+    ``set`` packs the sorted hashes; ``signature`` has one byte of every signature value.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = _permutations(PERMUTATIONS)
         cache = WordHashes()
         for batch in batches:
-            packed = [shingle_set(v.as_py(), words, cache).tobytes() for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed, pa.large_binary())], names=["node", "set"]
-            )
+            sets = [shingle_set(v.as_py(), words, cache) for v in batch.column(1)]
+            signed = [_mixed(min_max(x, a, b).astype(np.uint64)).astype(np.uint8).tobytes() for x in sets]
+            columns = [
+                batch.column(0),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([x.tobytes() for x in sets], pa.large_binary()),
+                pa.array(signed, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "set", "signature"])
 
     rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("_text"))
     kept = _may_hold(rows, ids, "node").join(ids, "node", "left_semi")
-    return kept.mapInArrow(pack, "node long, set binary")
+    return kept.mapInArrow(pack, "node long, n long, set binary, signature binary").where("n > 0")
+
 
+def _block(node: str, blocks: int):
+    return F.pmod(F.xxhash64(F.col(node)), F.lit(blocks))
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full sets reach the similarity."""
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(wanted: DataFrame, sets: DataFrame, blocks: int, percent: int) -> DataFrame:
+    """Of wanted comparisons (``node``, ``block``, ``partners``) the pairs that are links.
+
+    Partners of a row lie in one block of sets. The block's sets, some thousand, come to a task
+    first and stay; the rows with the nodes' own sets then stream past. So a set travels once
+    for its block and once for each row that asks, not for each pair, and only links come out.
+    """
+    stored = sets.select(
+        _block("node", blocks).alias("block"), F.lit(0).alias("turn"), "node", "set",
+        F.lit(None).cast("array<long>").alias("partners"),
+    )
+    asked = wanted.join(sets, "node").select("block", F.lit(1).alias("turn"), "node", "set", "partners")
+    stream = stored.unionByName(asked).repartition("block").sortWithinPartitions("block", "turn")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        now = None
         for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x = np.frombuffer(left.as_py(), np.uint64)
-                y = np.frombuffer(right.as_py(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(
-        confirm, "a long, b long"
+            found_a, found_b = [], []
+            columns = (batch.column(i) for i in range(5))
+            for block, turn, node, packed, partners in zip(*columns, strict=True):
+                if block.as_py() != now:
+                    held, now = {}, block.as_py()
+                x, a = np.frombuffer(packed.as_py(), np.uint64), node.as_py()
+                if turn.as_py() == 0:
+                    held.setdefault(a, []).append(x)
+                    continue
+                for b in partners.as_py():
+                    for y in held.get(b, ()):
+                        least, most = sorted((len(x), len(y)))
+                        if 100 * least < percent * most:
+                            continue
+                        common = len(np.intersect1d(x, y, assume_unique=True))
+                        if 100 * common >= percent * (len(x) + len(y) - common):
+                            found_a.append(min(a, b)), found_b.append(max(a, b))
+                            break
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"]
+            )
+
+    return stream.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _across(rows: DataFrame, blocks: int, percent: int) -> DataFrame:
+    """Comparisons still wanted in buckets that hold several components.
+
+    ``rows``: band, node, component, largest (component of the bucket), n, signature, and the
+    part (``i``, ``j``) of the bucket. A row that is not of the largest component (``side`` 0)
+    meets the others (``side`` 1) of its part. A pair is left out if its sizes or its whole
+    signatures are too far apart, or if an earlier bucket has both.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            rest = pa.concat_tables([rest, now]) if rest is not None else now
+            part = np.stack([rest[c].to_numpy() for c in ("band", "i", "j")])
+            cuts = np.flatnonzero((part[:, 1:] != part[:, :-1]).any(0)) + 1
+            if len(cuts):
+                done, rest = rest.slice(0, cuts[-1]), rest.slice(cuts[-1])
+                yield from _met(done, np.concatenate([[0], cuts]), blocks, percent)
+        if rest is not None and len(rest):
+            part = np.stack([rest[c].to_numpy() for c in ("band", "i", "j")])
+            cuts = np.flatnonzero((part[:, 1:] != part[:, :-1]).any(0)) + 1
+            yield from _met(rest, np.concatenate([[0], cuts, [len(rest)]]), blocks, percent)
+
+    ordered = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return ordered.mapInArrow(meet, "node long, block long, partners array<long>")
+
+
+def _met(rows: pa.Table, cuts: np.ndarray, blocks: int, percent: int) -> Iterator[pa.RecordBatch]:
+    node, block, component, largest, side, n = (
+        rows[c].to_numpy() for c in ("node", "block", "component", "largest", "side", "n")
+    )
+    width = 2 * PERMUTATIONS
+    signs = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, width)
+    out_node, out_block, out_partners = [], [], []
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        here = np.arange(low, high)
+        asking, others = here[side[here] == 0], here[side[here] == 1]
+        if not len(asking) or not len(others):
+            continue
+        own_band = rows["position"][int(low)].as_py()
+        for row in asking:
+            fits = component[others] != component[row]
+            # Of two rows outside the largest component the one with the smaller id asks.
+            fits &= (component[others] == largest[row]) | (node[row] < node[others])
+            sizes = n[others]
+            fits &= 100 * np.minimum(sizes, n[row]) >= percent * np.maximum(sizes, n[row])
+            met = others[fits]
+            if not len(met):
+                continue
+            equal = signs[met] == signs[row]
+            whole = equal.reshape(len(met), BANDS, ROWS).all(2)
+            near = (equal.sum(1) >= LEAST_EQUAL_VALUES) & (whole.argmax(1) == own_band)
+            met = met[near]
+            for b in np.unique(block[met]):
+                out_node.append(node[row])
+                out_block.append(b)
+                out_partners.append(np.unique(node[met[block[met] == b]]))
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(out_node, pa.int64()),
+            pa.array(out_block, pa.int64()),
+            pa.array(out_partners, pa.list_(pa.int64())),
+        ],
+        names=["node", "block", "partners"],
     )
 
 
@@ -204,8 +312,9 @@ def near_duplicates(
     2. Classes are banded. In every band bucket a class meets the bucket's first class and its
        neighbour in id order, never all others; sketches rule out most of these, and the best
        partners of each class are confirmed on full sets. That forms first components.
-    3. Whatever else shares a bucket but not a component is then compared: sketches first, full
-       sets after. Members of a bucket's largest component are not paired with one another.
+    3. Whatever else shares a bucket but not a component is then compared inside tasks: whole
+       signatures first, full sets after. Members of a bucket's largest component are not
+       paired with one another, and a large bucket is cut into parts.
     So links within a component may go unchecked, as they cannot change it; no candidate
     between components does. A pair at the threshold shares no bucket, or falls below the
     sketch bound, with a chance of a few in a million.
@@ -225,9 +334,10 @@ def near_duplicates(
 
     in_bucket = Window.partitionBy("band").orderBy("node")
     shared = written(
-        classes.select("node", F.explode("bands").alias("band"))
+        classes.select("node", F.posexplode("bands").alias("position", "band"))
         .select(
             "band",
+            "position",
             "node",
             F.first("node").over(in_bucket).alias("first"),
             F.lag("node").over(in_bucket).alias("before"),
@@ -251,40 +361,63 @@ def near_duplicates(
         .select("a", "b", F.expr(_equal_bits()).alias("bits"))
     )
     best = Window.partitionBy("b").orderBy(F.desc("bits"), "a")
-    tried = written(
-        scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PARTNERS).select("a", "b").distinct(),
-        "tried",
+    blocks = -(-sets.count() // BLOCK_SETS) or 1
+    tried = (
+        scored.withColumn("place", F.row_number().over(best))
+        .where(F.col("place") <= PARTNERS)
+        .groupBy(F.col("b").alias("node"), _block("a", blocks).alias("block"))
+        .agg(F.collect_list("a").alias("partners"))
     )
-    links = written(_linked(tried, sets, percent), "confirmed")
+    links = written(_linked(tried, sets, blocks, percent), "confirmed")
     formed = written(components(links), "formed")
 
     placed = shared.join(formed, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component")
+        "band", "position", "node", F.coalesce("component", "node").alias("component")
     )
-    groups = placed.groupBy("band", "component").agg(F.count("*").alias("members"))
     mixed = (
-        groups.groupBy("band")
-        .agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("largest"))
+        placed.groupBy("band", "component")
+        .agg(F.count("*").alias("members"))
+        .groupBy("band")
+        .agg(
+            F.count("*").alias("parts"),
+            F.max_by("component", F.struct("members", "component")).alias("largest"),
+            F.sum("members").alias("all"),
+            (F.sum("members") - F.max("members")).alias("few"),
+        )
         .where("parts > 1")
-        .drop("parts")
+        .select(
+            "band", "largest",
+            F.expr(f"1 + few div {PART_ROWS}").alias("few_parts"),
+            F.expr(f"1 + all div {PART_ROWS}").alias("all_parts"),
+        )
+    )
+    spot = F.expr("xxhash64(node, 7L)")
+    open_rows = placed.join(mixed, "band").withColumns(
+        {
+            "asking": F.expr("component <> largest"),
+            "own_few": F.pmod(spot, F.col("few_parts")),
+            "own_all": F.pmod(spot, F.col("all_parts")),
+        }
+    )
+    # A bucket of many rows is cut into parts: askers by i, the rest by j.
+    askers = open_rows.where("asking").select(
+        "*", F.lit(0).alias("side"), F.col("own_few").alias("i"),
+        F.explode(F.expr("sequence(0L, all_parts - 1)")).alias("j"),
     )
-    open_rows = written(placed.join(mixed, "band").join(brief, "node"), "open")
-    others = open_rows.where("component <> largest")
-    across = (
-        others.alias("l")
-        .join(
-            open_rows.alias("r"),
-            F.expr(
-                "l.band = r.band AND l.component <> r.component "
-                "AND (r.component = r.largest OR l.node < r.node) AND " + _alike(percent)
-            ),
+    others = open_rows.select(
+        "*", F.lit(1).alias("side"), F.explode(F.expr("sequence(0L, few_parts - 1)")).alias("i"),
+        F.col("own_all").alias("j"),
+    )
+    dealt = (
+        askers.unionByName(others)
+        .join(sets.drop("set"), "node")
+        .select(
+            "band", "position", "i", "j", "node", "component", "largest", "side", "n", "signature",
+            _block("node", blocks).alias("block"),
         )
-        .select(F.expr("least(l.node, r.node)").alias("a"), F.expr("greatest(l.node, r.node)").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
     )
-    more = _linked(across, sets, percent)
-    found = written(links.unionByName(more), "confirmed")
+    wanted = written(_across(dealt, blocks, percent), "wanted")
+    found = written(links.unionByName(_linked(wanted, sets, blocks, percent)), "confirmed")
     final = components(found)
 
     class_of = classes.select("f1", "f2", F.col("n").alias("_n"), "node").join(final, "node", "left")
