@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tallywork.llm import minhash
+from tallywork.llm import bpe, minhash, urls
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
+    "op5_url_filter": urls.op5_url_filter,
+    "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_url_filter": urls.OP5_SQL,
+}
