@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tallywork.llm import bpe, minhash, urls
+from tallywork.llm import bpe, minhash, mixing, quality, toxicity, urls
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
+    "op2_mixture": mixing.op2_mixture,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_quality": quality.op4_quality,
     "op5_url_filter": urls.op5_url_filter,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_mixture": mixing.OP2_SQL,
     "op5_url_filter": urls.OP5_SQL,
 }

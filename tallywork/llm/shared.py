@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywork.session import scratch_root
 
@@ -26,6 +28,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def added(schema: T.StructType, name: str) -> T.StructType:
+    """The schema with one more column of doubles."""
+    return T.StructType([*schema.fields, T.StructField(name, T.DoubleType())])
+
+
+def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
+
+
 def held_out(id_column: str, folds: int, fold: int):
     """Whether crc32 of the id as text falls into the fold that no model may learn from."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string")), F.lit(folds)) == fold, F.lit(False))
@@ -79,3 +90,43 @@ def _fingerprint(edges: DataFrame) -> tuple:
         F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))
     ).first()
     return tuple(row)
+
+
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    target: str,
+    folds: int,
+    fold: int,
+    per_class: tuple[int, int],
+    chars: int,
+    text: str = "text",
+    key: str = "doc_id",
+) -> tuple[list[tuple[str, int]], float | None]:
+    """Labelled texts to learn from, in the driver, and the share of label 1.
+
+    Rows of the held-out fold never get here. At most ``per_class`` documents of label 0 and 1
+    are drawn by the hash of their id, and ``chars`` characters of each are taken, so the
+    sample has a size that does not grow with the corpus. The share is over all rows that may
+    be learnt from. Of several labels for a document the greatest counts.
+    """
+    known = (
+        labels.where(F.col(key).isNotNull() & F.col(target).isin(0, 1) & ~held_out(key, folds, fold))
+        .groupBy(F.col(key).alias("_id"))
+        .agg(F.max(target).cast("int").alias("_label"))
+    )
+    zeros, ones = known.agg(F.count_if(F.col("_label") == 0), F.count_if(F.col("_label") == 1)).first()
+    if not zeros + ones:
+        return [], None
+    order = [F.xxhash64("_id", F.lit(17)), F.col("_id")]
+    drawn = [known.where(F.col("_label") == v).orderBy(*order).limit(per_class[v]) for v in (0, 1)]
+    ids = F.broadcast(drawn[0].unionByName(drawn[1]))
+    found = (
+        docs.select(F.col(key).alias("_key"), F.substring(F.col(text), 1, chars).alias("_text"))
+        .join(ids, F.col("_key") == F.col("_id"))
+        .select("_id", F.coalesce("_text", F.lit("")).alias("_text"), "_label")
+        .collect()
+    )
+    # One order whatever the partitions, and one row for repeated rows.
+    rows = sorted({(r["_id"], r["_text"], r["_label"]) for r in found})
+    return [(t, v) for _, t, v in rows], ones / (zeros + ones)
