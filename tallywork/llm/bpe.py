@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -10,6 +11,7 @@ from pathlib import Path
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,51 +56,84 @@ class Bpe:
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError("added tokens that take in their surroundings are not supported")
         self.vocabulary: dict[str, int] = model["vocab"]
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.rank = {tuple(pair): i for i, pair in enumerate(pairs)}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.halves: dict[int, tuple[int, int]] = {}  # of a token, as its merge joins them
+        for i, pair in enumerate(model["merges"]):
+            left, right = pair.split(" ") if isinstance(pair, str) else pair
+            key = (self.vocabulary[left], self.vocabulary[right])
+            self.rank[key] = i
+            self.halves.setdefault(self.vocabulary[left + right], key)
         self.added = {t["content"]: t["id"] for t in added}
         # Longest first: the alternation then takes the longest added token at a place.
         names = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
         characters = _byte_characters()
+        self.space = characters[32]
         self.to_characters = {b: c for b, c in enumerate(characters)}
         from_character = {c: b for b, c in enumerate(characters)}
         self.strings = {i: s for s, i in self.vocabulary.items()}
         self.bytes = {i: bytes(from_character[c] for c in s) for i, s in self.strings.items()}
         self.bytes |= {i: s.encode() for s, i in self.added.items()}
 
+        self.table = pa.array([self.bytes.get(i, b"") for i in range(max(self.bytes) + 1)], pa.binary())
+
         # Every token that ends at a place of a text, found through suffix links in one pass.
+        # Tokens that their own text is not encoded to never occur.
         self.suffixes = ahocorasick.Automaton()
+        special = set(self.added.values())
         for string, i in self.vocabulary.items():
-            if i not in self.added.values():
+            if i not in special and self._reachable(string, i):
                 self.suffixes.add_word(string, (i, len(string)))
         self.suffixes.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _merged(self, string: str) -> list[str]:
-        """Merges in order of rank, as the vocabulary defines them; for short strings."""
-        parts = list(string)
-        while len(parts) > 1:
-            ranked = [(self.rank.get(pair), i) for i, pair in enumerate(zip(parts, parts[1:], strict=False))]
-            known = [r for r in ranked if r[0] is not None]
-            if not known:
-                break
-            _, i = min(known)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+    def _reachable(self, string: str, token: int) -> bool:
+        """Whether nothing crosses the border of a token's halves before they are merged."""
+        if len(string) == 1:
+            return True
+        halves = self.halves.get(token)
+        return halves is not None and self._stays_apart(*halves, below=self.rank[halves])
+
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """Tokens that stand at an end of a token's text while it is merged, each with the rank
+        of the merge that makes it; the single byte first."""
+        edge = []
+        while (halves := self.halves.get(token)) is not None:
+            edge.append((token, self.rank[halves]))
+            token = halves[side]
+        edge.append((token, -1))
+        return edge[::-1]
+
+    def _stays_apart(self, left: int, right: int, below: int | None = None) -> bool:
+        """Whether no merge joins the two tokens' texts across their border.
+
+        Merges go by rank. At any time one token of each text stands at the border; a merge of
+        these two comes about if its rank is below that of the next merge on either side (of
+        equal ones the left goes first). ``below``: only merges of a lower rank count.
+        """
+        a, b = self._edge(left, 1), self._edge(right, 0)
+        never = len(self.rank) if below is None else below
+        i = j = 0
+        while True:
+            next_left = a[i + 1][1] if i + 1 < len(a) else never
+            next_right = b[j + 1][1] if j + 1 < len(b) else never
+            across = self.rank.get((a[i][0], b[j][0]), never)
+            if across < next_left and across <= next_right and across < never:
+                return False
+            if next_left == next_right == never:
+                return True
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
 
     def _tested(self, key: tuple[int, int]) -> bool:
-        """Whether the two tokens side by side are what their joint text is encoded to.
-
-        With ``START`` on the left: whether the token's own text is encoded to it alone.
-        """
+        """Whether the two tokens side by side are what their joint text is encoded to."""
         if len(self.pairs) >= CACHED_PAIRS:
             self.pairs.clear()
-        left, right = key
-        parts = [self.strings[right]] if left == START else [self.strings[left], self.strings[right]]
-        self.pairs[key] = fits = self._merged("".join(parts)) == parts
+        self.pairs[key] = fits = key[0] == START or self._stays_apart(*key)
         return fits
 
     def encode_piece(self, string: str) -> list[int]:
@@ -129,8 +164,11 @@ class Bpe:
     def _packed_piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            string = piece.encode("utf-8").decode("latin-1").translate(self.to_characters)
-            known = np.array(self.encode_piece(string), np.int32).tobytes()
+            if piece.isascii() and (piece[1:] if piece[0] == " " else piece).isalpha():
+                string = piece.replace(" ", self.space)
+            else:
+                string = piece.encode("utf-8").decode("latin-1").translate(self.to_characters)
+            known = array("i", self.encode_piece(string)).tobytes()
             if len(piece) <= CACHED_LENGTH:
                 if len(self.pieces) >= CACHED_PIECES:
                     self.pieces.clear()
@@ -150,9 +188,14 @@ class Bpe:
                 packed.extend(map(self._packed_piece, PIECES.findall(part)))
         return b"".join(packed)
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids, added tokens included; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Texts of lists of ids, added tokens included; bytes that are no UTF-8 become U+FFFD."""
+        tokens = pa.ListArray.from_arrays(ids.offsets, self.table.take(ids.values))
+        joined = pc.binary_join(tokens, b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([v.as_py().decode("utf-8", "replace") for v in joined], pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -196,10 +239,9 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(vocabulary.value)
         for batch in batches:
-            texts = [bpe.decode(v.as_py() or []) for v in batch.column(1)]
+            ids = batch.column(1).fill_null([])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                names=[key, "ids", "decoded"],
+                [batch.column(0), batch.column(1), bpe.decode(ids)], names=[key, "ids", "decoded"]
             )
 
     kind = encoded.schema[key].dataType.simpleString()
