@@ -27,8 +27,8 @@ THRESHOLD = 0.3
 
 # Optimal parsing; matches under six bytes, which any two texts share, count for nothing.
 PARAMETERS = dict(
-    window_log=17, hash_log=15, chain_log=15, search_log=5, min_match=6, target_length=64,
-    strategy=zstandard.STRATEGY_BTULTRA,
+    window_log=17, hash_log=15, chain_log=15, search_log=4, min_match=6, target_length=64,
+    strategy=zstandard.STRATEGY_BTOPT,
     write_content_size=False, write_checksum=False, write_dict_id=False,
 )
 
@@ -68,7 +68,7 @@ def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     in_toxic, in_ordinary = _document_counts(toxic), _document_counts(ordinary)
     rate = in_toxic / len(toxic)
     telling = (in_toxic >= max(3, LEAST_SHARE * len(toxic))) & (
-        rate >= LEAST_RATIO * (in_ordinary + 0.5) / len(ordinary)
+        rate >= LEAST_RATIO * in_ordinary / len(ordinary)
     )
     words: Counter = Counter()
     for t in toxic:
