@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywork.llm import bpe, minhash, mixing, quality, toxicity, urls
+from tallywork.llm import bpe, minhash, mixing, neighbours, packing, pivots, quality, toxicity, urls
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -11,6 +11,9 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_url_filter": urls.op5_url_filter,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
+    "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
+    "op9_vector_near_dedup": pivots.op9_vector_near_dedup,
+    "op10_packed_rows": packing.op10_packed_rows,
 }
 
 ORACLES: dict[str, str] = {
