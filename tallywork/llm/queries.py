@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywork.llm import bpe, minhash, mixing, neighbours, packing, pivots, quality, toxicity, urls
+from tallywork.llm import bpe, licences, minhash, mixing, neighbours, packing, pivots, quality, toxicity, urls
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality": quality.op4_quality,
     "op5_url_filter": urls.op5_url_filter,
+    "op6_licences": licences.op6_licences,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
     "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op9_vector_near_dedup": pivots.op9_vector_near_dedup,
@@ -19,4 +20,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_mixture": mixing.OP2_SQL,
     "op5_url_filter": urls.OP5_SQL,
+    "op6_licences": licences.OP6_SQL,
 }
