@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm.shared import table
+from tallywork.llm.shared import table, with_texts
 
 # Fixed value: the pattern that byte-level vocabularies of this family split text by.
 PIECES = regex.compile(
@@ -229,7 +229,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[key, "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    return with_texts(docs).select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -246,7 +246,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 
     kind = encoded.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, ids array<int>, decoded string"
-    return encoded.select(key, "ids").mapInArrow(run, schema)
+    return with_texts(encoded).select(key, "ids").mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:

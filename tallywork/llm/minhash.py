@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tallywork.llm.shared import components, table, written
+from tallywork.llm.shared import components, table, with_texts, written
 
 WORDS = 5  # words of a shingle
 PERMUTATIONS = 192  # each gives a minimum and a maximum
@@ -127,7 +127,7 @@ def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", words:
                 names=["node", "n", "f1", "f2", "bands", "sketch"],
             )
 
-    return docs.select(key, text).mapInArrow(sign, schema)
+    return with_texts(docs).select(key, text).mapInArrow(sign, schema)
 
 
 def _may_hold(df: DataFrame, ids: DataFrame, column: str, bits: int = ID_FILTER_BITS) -> DataFrame:

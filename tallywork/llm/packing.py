@@ -12,7 +12,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.llm.shared import table
+from tallywork.llm.shared import table, with_texts
 
 LENGTH = 2_048  # ids of a row
 WINDOW_TOKENS = 4_000_000  # ids a task gathers before it packs them (8 MB)
@@ -182,7 +182,7 @@ def pack(
         if waiting:
             yield from packed(waiting)
 
-    return docs.selectExpr(f"CAST(`{key}` AS BIGINT) AS `{key}`", f"`{text}`").mapInArrow(run, SCHEMA)
+    return with_texts(docs).selectExpr(f"CAST(`{key}` AS BIGINT) AS `{key}`", f"`{text}`").mapInArrow(run, SCHEMA)
 
 
 def op10_packed_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm.shared import added, held_out, labelled_sample, table, with_column
+from tallywork.llm.shared import added, held_out, labelled_sample, table, with_column, with_texts
 
 PASSAGE_WORDS = 64
 SHAPES = 128  # buckets of character-shape sequences
@@ -170,7 +170,7 @@ def with_quality(docs: DataFrame, model: QualityModel | float, score: str = "sco
             ]
             yield with_column(batch, score, pa.array(scores, pa.float64()))
 
-    return docs.mapInArrow(run, added(docs.schema, score))
+    return with_texts(docs).mapInArrow(run, added(docs.schema, score))
 
 
 def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:

@@ -16,6 +16,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+BATCH_ROWS = 1_000  # whole texts that travel between Spark and Python at a time
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def with_texts(df: DataFrame) -> DataFrame:
+    """The frame, in a session that hands no more than ``BATCH_ROWS`` rows at a time to Python.
+
+    Texts are long: Spark's usual ten thousand would take a task hundreds of megabytes. The
+    session keeps the setting, as plans run after the call that builds them; a smaller one of
+    the caller's stays.
+    """
+    conf = df.sparkSession.conf
+    now = int(conf.get(_BATCH_SETTING))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

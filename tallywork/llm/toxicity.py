@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm.shared import added, held_out, labelled_sample, table, with_column
+from tallywork.llm.shared import added, held_out, labelled_sample, table, with_column, with_texts
 
 SAMPLE_PER_CLASS = (12_000, 3_000)  # ordinary and toxic documents to learn from, at most
 SAMPLE_CHARS = 8_000  # characters of each that are learnt from; scores read whole texts
@@ -191,7 +191,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel | float, score: str = "s
                 scores = np.empty(0)
             yield with_column(batch, score, pa.array(scores, pa.float64()))
 
-    return docs.mapInArrow(run, added(docs.schema, score))
+    return with_texts(docs).mapInArrow(run, added(docs.schema, score))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
