@@ -20,5 +20,6 @@ def number_or_null(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def squared_plus(base: Column, offset: float, places: int) -> Column:
-    return F.round(F.pow(base, F.lit(2)) + F.lit(offset), places)
+def compounded(rate: Column, periods: Column, places: int) -> Column:
+    """What one becomes at a rate over a number of periods."""
+    return F.round(F.pow(1 + rate, periods), places)

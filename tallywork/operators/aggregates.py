@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 AGGREGATES = {
     "avg": F.avg,
@@ -39,11 +40,8 @@ def count_distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def distinct_estimate(df: DataFrame, column: str, rsd: float) -> DataFrame:
-    """Estimated and exact distinct count, and whether the estimate is within three rsd."""
-    return df.agg(
-        F.approx_count_distinct(column, rsd).alias("estimate"),
-        F.count_distinct(column).alias("exact"),
-    ).withColumn("within_error", F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * 3 * rsd)
+    """Estimated distinct count: one small sketch per task is all that is shuffled."""
+    return df.agg(F.approx_count_distinct(column, rsd).alias("estimate"))
 
 
 def first_last(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
@@ -58,25 +56,32 @@ def first_last(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
 def value_lists(
     df: DataFrame, keys: Sequence[str], value: str, position: str, width: int
 ) -> DataFrame:
-    """All values (``values``, by position) and distinct values (``value_set``) per key.
+    """All values per key (``values``), by position and without nulls.
 
     ``position`` is a unique whole number. A list covers ``width`` positions, numbered by
-    ``chunk``, and so never holds more than ``width`` values however large the key is.
-    Nulls are left out. The lists of a key in chunk order are its whole list.
+    ``chunk``, and so never holds more than ``width`` values however large the key is. The
+    lists of a key in chunk order are its whole list.
     """
     # Whole-number arithmetic: large positions would lose digits as doubles.
     chunk = F.expr(f"(`{position}` - pmod(`{position}`, {width})) div {width}").alias("chunk")
     pairs = F.when(F.col(value).isNotNull(), F.struct(position, value))
     return (
         df.groupBy(*keys, chunk)
-        .agg(
-            F.array_sort(F.collect_list(pairs)).alias("_pairs"),
-            F.array_sort(F.collect_set(value)).alias("value_set"),
-        )
-        .select(*keys, "chunk", F.col(f"_pairs.{value}").alias("values"), "value_set")
+        .agg(F.array_sort(F.collect_list(pairs)).alias("_pairs"))
+        .select(*keys, "chunk", F.col(f"_pairs.{value}").alias("values"))
     )
 
 
+def value_sets(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values per key in one sorted ``value_set``, nulls left out.
+
+    Values are made distinct before they are collected, so a key with very many rows comes to
+    its task as its few values.
+    """
+    distinct = df.select(*keys, value).distinct()
+    return distinct.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("value_set"))
+
+
 def _level_sums(
     df: DataFrame, keys: Sequence[str], measure: str, kind: str, combine_first: bool
 ) -> DataFrame:
@@ -108,16 +113,16 @@ def cube_sums(
     return _level_sums(df, keys, measure, "cube", combine_first)
 
 
-def bounded_values(df: DataFrame, column: str, at_most: int) -> list:
-    """Sorted distinct non-null values; an error if there are more than ``at_most``.
+OTHER = "other"
 
-    For column lists of pivots: the driver never receives more than ``at_most + 1`` values.
-    """
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(at_most + 1)
-    values = [row[0] for row in found.collect()]
-    if len(values) > at_most:
-        raise ValueError(f"{column} has more than {at_most} distinct values")
-    return sorted(values)
+
+def _listed(column: str, values: Sequence) -> tuple[Column, list[str]]:
+    """The column's value as text if it is listed, else ``other``; and all these names."""
+    names = [str(v) for v in values]
+    if OTHER in names:
+        raise ValueError(f"the name {OTHER!r} is for values that are not listed")
+    text = F.col(column).cast("string")
+    return F.when(text.isin(names), text).otherwise(OTHER), [*names, OTHER]
 
 
 def pivot_sums(
@@ -125,24 +130,33 @@ def pivot_sums(
 ) -> DataFrame:
     """Values become columns named ``<value>_sum_<measure>``.
 
-    Given values spare the extra job in which Spark would look for them.
+    Nulls and values that are not listed add up in ``other_sum_<measure>``, so a row of columns
+    always has the whole total. For an open set of values group by it and leave it long.
     """
+    place, names = _listed(column, values)
     sums = [F.sum(measure).alias(f"sum_{measure}") for measure in measures]
-    wide = df.groupBy(*keys).pivot(column, list(values)).agg(*sums)
+    wide = df.withColumn("_place", place).groupBy(*keys).pivot("_place", names).agg(*sums)
     if len(measures) > 1:
         return wide
     # With one aggregate Spark names the column by the value alone.
-    return wide.withColumnsRenamed({str(v): f"{v}_sum_{measures[0]}" for v in values})
+    return wide.withColumnsRenamed({v: f"{v}_sum_{measures[0]}" for v in names})
+
+
+def pair_counts(df: DataFrame, row: str, column: str) -> DataFrame:
+    """The long form of a crosstab: ``row``, ``column`` and ``n``, for any number of values."""
+    return df.groupBy(row, column).agg(F.count("*").alias("n"))
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
     """Pair counts with one column per value, zero where a pair does not occur.
 
-    Complete for any number of rows; Spark's own ``crosstab`` gathers its table in the driver.
+    Nulls and values that are not listed count as ``other``. Complete for any number of rows;
+    Spark's own ``crosstab`` gathers its table in the driver.
     """
-    counted = df.groupBy(row, column).agg(F.count("*").alias("n"))
-    wide = counted.groupBy(row).pivot(column, list(values)).agg(F.sum("n"))
-    return wide.na.fill(0, subset=[str(v) for v in values])
+    place, names = _listed(column, values)
+    counted = pair_counts(df.withColumn("_place", place), row, "_place")
+    wide = counted.groupBy(row).pivot("_place", names).agg(F.sum("n"))
+    return wide.na.fill(0, subset=names)
 
 
 def frequent_items(df: DataFrame, columns: Sequence[str], support: float = 0.01) -> DataFrame:
@@ -160,15 +174,16 @@ def frequent_items(df: DataFrame, columns: Sequence[str], support: float = 0.01)
     )
 
 
-def describe_long(df: DataFrame, numeric: Sequence[str], text: Sequence[str] = ()) -> DataFrame:
-    """One row per column: count, mean, sample deviation, least and greatest value.
+def describe_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per column (all by default): count, mean, sample deviation, least and greatest.
 
-    A single pass over the data; least and greatest are text as the columns differ in type.
+    A single pass over the data. Mean and deviation are null but for numbers; least and
+    greatest are text as the columns differ in type.
     """
     nothing = F.lit(None).cast("double")
     facts = []
-    for name in [*numeric, *text]:
-        is_number = name in numeric
+    for field in df.select(*(columns or df.columns)).schema:
+        name, is_number = field.name, isinstance(field.dataType, NumericType)
         facts.append(
             F.struct(
                 F.lit(name).alias("column_name"),

@@ -25,6 +25,12 @@ def split_at(df: DataFrame, time: str, cut: Column) -> tuple[DataFrame, DataFram
     return df.where(F.col(time) < cut), df.where(F.col(time) >= cut)
 
 
+def with_part(df: DataFrame, time: str, cut: Column) -> DataFrame:
+    """The same split in one pass: ``part`` is train before ``cut``, else test; no null times."""
+    part = F.when(F.col(time) < cut, "train").otherwise("test")
+    return df.where(F.col(time).isNotNull()).withColumn("part", part)
+
+
 def feature_steps(label: str, numeric: Sequence[str], scale: bool = False) -> Pipeline:
     """Label index, one-hot vector and feature vector, fitted together.
 
@@ -64,21 +70,28 @@ def fit_kmeans(
         return KMeans(k=k, seed=seed, featuresCol="features").fit(training)
 
 
-def squared_distance(model: KMeansModel, features: str = "features") -> Column:
-    """Squared distance of a row to its own cluster centre, computed in the JVM.
-
-    The centres number ``k`` and are part of the model, so they travel as constants.
-    """
-    centres = F.array(
+def _centres(model: KMeansModel) -> Column:
+    """The centres number ``k`` and are part of the model, so they travel as constants."""
+    return F.array(
         *[F.array(*[F.lit(float(x)) for x in centre]) for centre in model.clusterCenters()]
     )
-    own = F.get(centres, F.col("prediction"))
-    squares = F.zip_with(
-        vector_to_array(features), own, lambda x, c: (x - c) * (x - c)
-    )
+
+
+def _distance(features: str, centre: Column) -> Column:
+    squares = F.zip_with(vector_to_array(features), centre, lambda x, c: (x - c) * (x - c))
     return F.aggregate(squares, F.lit(0.0), lambda total, square: total + square)
 
 
+def squared_distance(model: KMeansModel, features: str = "features") -> Column:
+    """Squared distance of a row to its own cluster centre, computed in the JVM."""
+    return _distance(features, F.get(_centres(model), F.col("prediction")))
+
+
+def least_distance(model: KMeansModel, features: str = "features") -> Column:
+    """Squared distance of a row to the nearest of all centres."""
+    return F.array_min(F.transform(_centres(model), lambda centre: _distance(features, centre)))
+
+
 def cluster_costs(model: KMeansModel, features: DataFrame) -> DataFrame:
     """Rows and summed squared distance per cluster, for training or any other rows."""
     return (

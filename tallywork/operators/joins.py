@@ -107,9 +107,6 @@ def broadcast_if_small(
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
-def all_pairs(left: DataFrame, right: DataFrame, max_rows: int = 1_000) -> DataFrame:
-    """Every pair of two small tables; an error if either has more than ``max_rows`` rows."""
-    for side in (left, right):
-        if side.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"all_pairs takes tables of at most {max_rows} rows")
+def all_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every pair of rows of two dimension tables. The result has the product of their sizes."""
     return left.crossJoin(right)

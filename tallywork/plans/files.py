@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.operators.aggregates import bounded_values
 from tallywork.operators.layout import spread
 from tallywork.plans.registry import on_flights, query
 from tallywork.session import scratch_path
 from tallywork.sources.readers import bind, load_or_empty, read_csv, read_json, read_parquet
 from tallywork.sources.tables import Tables, flights
 from tallywork.sources.writers import write_csv, write_json, write_parquet
-from tallywork.streaming.files import append_files, read_files, to_memory_table
+from tallywork.streaming.files import append_files, keep_updates, latest_updates, read_files
 
 # Files per micro-batch: a rate limit, in proportion to a source of many files.
 FILES_PER_TRIGGER = 1_000
+MICRO_BATCHES = 4
 
 FLIGHT_SCHEMA = T.StructType(
     [
@@ -67,18 +67,20 @@ def _events_out(df: DataFrame) -> DataFrame:
 @query(
     "src_range",
     """
-    SELECT r.number, count(l_orderkey) AS lines
-    FROM (SELECT unnest(range(0, (SELECT max(o_orderkey) + 1 FROM orders))) AS number) r
-    LEFT JOIN lineitem ON l_orderkey = r.number
+    SELECT b.bucket, count(l_orderkey) AS lines
+    FROM (SELECT unnest(range(0, 10000)) AS bucket) b
+    LEFT JOIN lineitem ON l_orderkey % 10000 = b.bucket
     GROUP BY 1
     """,
 )
 def src_range(t: Tables) -> DataFrame:
-    highest = t.orders.agg(F.coalesce(F.max("o_orderkey"), F.lit(-1))).first()[0]
-    numbers = t.spark.range(highest + 1).toDF("number")
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
-    return numbers.join(lines, F.col("number") == F.col("l_orderkey"), "left").select(
-        "number", F.coalesce("lines", F.lit(0)).alias("lines")
+    # Lines by the last four digits of their order; the range makes digits without lines show.
+    digits = t.spark.range(10_000).toDF("bucket")
+    lines = t.lineitem.groupBy((F.col("l_orderkey") % 10_000).alias("digits")).agg(
+        F.count("*").alias("lines")
+    )
+    return digits.join(lines, F.col("bucket") == F.col("digits"), "left").select(
+        "bucket", F.coalesce("lines", F.lit(0)).alias("lines")
     )
 
 
@@ -282,18 +284,17 @@ def sink_parquet(t: Tables) -> DataFrame:
     """,
 )
 def sink_stream_memory(t: Tables) -> DataFrame:
-    # The table is held by the driver, so its number of rows is checked beforehand.
-    bounded_values(t.events, "event_type", at_most=1_000)
-    checkpoint = scratch_path(t.spark, "checkpoint")
-    name = "events_by_type_" + checkpoint.rsplit("-", 1)[1]
-    stream = read_files(
-        t.spark, t.stream_path("events"), t.events.schema, files_per_trigger=FILES_PER_TRIGGER
-    )
-    totals = stream.groupBy("event_type").agg(
+    # The running result under a name, held by the restartable sink and not by the driver. The
+    # events come as several files, one a micro-batch, so groups carry over between batches.
+    source, results = scratch_path(t.spark, "events"), scratch_path(t.spark, "by-type")
+    t.events.repartition(MICRO_BATCHES, "event_id").write.parquet(source)
+    totals = read_files(t.spark, source, t.events.schema, files_per_trigger=1).groupBy("event_type").agg(
         F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value")
     )
-    to_memory_table(totals, name, checkpoint).awaitTermination()
-    return t.spark.table(name).withColumn("total_value", F.col("total_value").cast("double"))
+    keep_updates(totals, results, scratch_path(t.spark, "checkpoint")).awaitTermination()
+    latest = latest_updates(t.spark, results, totals.schema, ["event_type"])
+    latest.createOrReplaceTempView("events_by_type")
+    return t.spark.table("events_by_type").withColumn("total_value", F.col("total_value").cast("double"))
 
 
 @query(

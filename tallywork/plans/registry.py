@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.session import tune
 from tallywork.sources.tables import Tables
 
 
@@ -18,7 +17,7 @@ class Query:
     oracle: str | None
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
-        return self.build(Tables(tune(spark), folder))
+        return self.build(Tables(spark, folder))
 
 
 REGISTRY: dict[str, Query] = {}

@@ -124,18 +124,29 @@ def order_totals(tables: Tables, *columns: str) -> DataFrame:
     )
 
 
-def flights(tables: Tables) -> DataFrame:
+def flights(
+    tables: Tables, origin: Column | None = None, destination: Column | None = None
+) -> DataFrame:
     """Line items counted from the supplier's nation to the customer's nation.
 
     Counting runs on the two nation keys; names are looked up on the counted rows only.
+    ``origin`` and ``destination`` are conditions on ``n_name``. They cut the suppliers and the
+    customers to the kept nations before the line items meet them; as conditions on the result
+    they would be tried after all lines were joined and counted.
     """
+    suppliers = tables.supplier.select("s_suppkey", "s_nationkey")
+    customers = tables.customer.select("c_custkey", "c_nationkey")
+    if origin is not None:
+        kept = tables.nation.where(origin).select("n_nationkey")
+        suppliers = suppliers.join(kept, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    if destination is not None:
+        kept = tables.nation.where(destination).select("n_nationkey")
+        customers = customers.join(kept, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
     lines = tables.lineitem.select("l_orderkey", "l_suppkey").join(
-        tables.supplier.select("s_suppkey", "s_nationkey"),
-        F.col("l_suppkey") == F.col("s_suppkey"),
+        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
     )
     orders = tables.orders.select("o_orderkey", "o_custkey").join(
-        tables.customer.select("c_custkey", "c_nationkey"),
-        F.col("o_custkey") == F.col("c_custkey"),
+        customers, F.col("o_custkey") == F.col("c_custkey")
     )
     counted = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

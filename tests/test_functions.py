@@ -17,7 +17,7 @@ from tallywork.functions.dates import (
 )
 from tallywork.functions.nested import explode_words, word_at, words
 from tallywork.functions.nulls import first_present
-from tallywork.functions.numbers import number_or_null, squared_plus
+from tallywork.functions.numbers import compounded, number_or_null
 from tallywork.functions.text import contains_any, first_word_of, mask_words, word_flags
 from tallywork.functions.udfs import power3, power3_native, register_udfs
 
@@ -62,10 +62,10 @@ def test_rounding(spark):
         spark,
         F.round(F.lit("2.5")),
         F.bround(F.lit("2.5")),
-        squared_plus(F.lit(3.0), 5, 1),
+        compounded(F.lit(0.1), F.lit(2), 4),
         number_or_null(F.lit("C536365")),
         number_or_null(F.lit("536365")),
-    ) == (3.0, 2.0, 14.0, None, 536365.0)
+    ) == (3.0, 2.0, 1.21, None, 536365.0)
 
 
 def test_dates(spark):

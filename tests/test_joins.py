@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from people import persons, programs, statuses
 from support import SMALL_SKEW, final_plan, plan, rows, same_rows
 from tallywork.operators.joins import (
     all_pairs,
@@ -14,7 +15,6 @@ from tallywork.operators.joins import (
     outer_join,
     without_match,
 )
-from tallywork.sources.people import persons, programs, statuses
 
 PERSON_PROGRAM = [("graduate_program", "id")]
 
@@ -94,10 +94,9 @@ def test_keys_of_unlike_types_still_match(spark):
     assert rows(without_match(left, right, [("k", "j")])) == [(1,)]
 
 
-def test_all_pairs_of_small_tables_only(spark, people, degrees):
+def test_all_pairs_of_two_tables_of_any_size(spark, people, degrees):
     assert all_pairs(people, degrees).count() == 9
-    with pytest.raises(ValueError):
-        all_pairs(people, spark.range(11), max_rows=10)
+    assert all_pairs(people, spark.range(1_500)).count() == 4_500
 
 
 def test_contains_join_equals_the_nested_loop(spark, people):
