@@ -25,7 +25,8 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"  # terms of lower-cased text
-COMMON = 0.05  # terms in a greater share of all files do not make a line a candidate
+# A notice has one of these words; every template does.
+ANCHORS = ["licence", "licences", "licensed", "license", "licenses", "permission", "redistribution"]
 LEAST = 0.6  # cosine of a line that counts as a notice
 FILE_SHARE = 0.25  # of a text's characters in notices, from which it is a licence file
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.][^/]*)?$"
@@ -43,9 +44,9 @@ def licence_lines(files: DataFrame, text: str) -> DataFrame:
     """Distinct lines that are notices: ``line``, ``licence`` and ``cosine``.
 
     Terms of templates weigh tf * (ln((1 + files) / (1 + files with the term)) + 1), counted
-    over all files; other terms weigh tf. A line is compared if it has a template term that is
-    not common, in sparse form: only templates that share a term. Of equal cosines (to 9
-    digits) the first name wins.
+    over all files; other terms weigh tf. A line is compared if it has one of ``ANCHORS``, in
+    sparse form: only with templates that share a term. Of equal cosines (to 9 digits) the
+    first name wins.
     """
     spark = files.sparkSession
     templates = spark.createDataFrame(TEMPLATES, "licence string, line string")
@@ -61,11 +62,7 @@ def licence_lines(files: DataFrame, text: str) -> DataFrame:
     weights = spark.createDataFrame([(w, seen.get(w, 0)) for w in words], "term string, n long").select(
         "term", (F.log((1 + F.lit(every)) / (1 + F.col("n"))) + 1).alias("idf")
     )
-    rare = [w for w in words if seen.get(w, 0) <= COMMON * every]
-    if not rare:
-        return spark.createDataFrame([], "line string, licence string, cosine double")
-
-    lines = candidate_lines(files.select(F.col(text).alias("text")), rare).distinct()
+    lines = candidate_lines(files.select(F.col(text).alias("text"))).distinct()
     terms = _counted(lines, "line").join(F.broadcast(weights), "term", "left")
     weighed = terms.select("line", "term", (F.col("tf") * F.coalesce("idf", F.lit(1.0))).alias("w"), F.col("idf").isNotNull().alias("known"))
     norms = weighed.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -87,11 +84,11 @@ def licence_lines(files: DataFrame, text: str) -> DataFrame:
     return best.where(F.col("cosine") >= LEAST)
 
 
-def candidate_lines(texts: DataFrame, rare: list[str], *keep: str) -> DataFrame:
-    """Lines of whole texts with one of the rare terms."""
-    pattern = r"(?i)(^|[^a-z0-9])(" + "|".join(w.replace(".", "[.]") for w in rare) + ")([^a-z0-9]|$)"
-    split = texts.select(*keep, F.explode(F.split("text", "\n", -1)).alias("line"))
-    return split.where(F.col("line").rlike(pattern))
+def candidate_lines(texts: DataFrame) -> DataFrame:
+    """Lines of whole texts with an anchor among their terms."""
+    line = F.explode(F.split("text", "\n", -1)).alias("line")
+    words = "(^|[^a-z0-9])(" + "|".join(ANCHORS) + ")([^a-z0-9]|$)"
+    return texts.select(line).where(F.lower("line").rlike(words))
 
 
 def directory(path: Column) -> Column:
@@ -201,7 +198,7 @@ df AS (
   GROUP BY term
 ),
 weights AS (
-  SELECT term, coalesce(n, 0) AS n, ln((1 + (SELECT count(*) FROM files)) / (1 + coalesce(n, 0))) + 1 AS idf
+  SELECT term, ln((1 + (SELECT count(*) FROM files)) / (1 + coalesce(n, 0))) + 1 AS idf
   FROM vocabulary LEFT JOIN df USING (term)
 ),
 all_lines AS (SELECT path, length(text) AS size, unnest(string_split(text, chr(10))) AS line FROM files),
@@ -211,7 +208,7 @@ lt AS (
   GROUP BY ALL
 ),
 candidates AS (
-  SELECT DISTINCT line FROM lt JOIN weights USING (term) WHERE n <= {COMMON} * (SELECT count(*) FROM files)
+  SELECT DISTINCT line FROM lt WHERE term IN {tuple(ANCHORS)}
 ),
 lw AS (
   SELECT line, term, tf * coalesce(idf, 1) AS w, idf IS NOT NULL AS known
