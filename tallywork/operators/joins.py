@@ -62,7 +62,9 @@ def outer_join(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFra
 
     AQE splits a hot key on both sides of an inner join and on the kept side of an anti join,
     but never on the filled side of an outer join and not at all in a full one. So the rows
-    are put together from an inner join and anti joins against distinct keys.
+    are put together from an inner join and anti joins against distinct keys. Each side is
+    evaluated two or three times for that, so it must give the same rows each time: write out
+    sides that an unsorted limit, ``rand`` or generated ids went into.
     Column names must differ between the sides: rename first.
     """
     if how not in ("left", "right", "full"):

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 
-def partitions_for(df: DataFrame, rows: int) -> int:
-    """How many partitions of about ``rows`` rows the frame fills. Counts it once."""
-    return max(1, -(-df.count() // rows))
+def partitions_for(df: DataFrame, rows: int, at_least: int = 1) -> int:
+    """How many partitions of about ``rows`` rows the frame fills. Counts it once.
+
+    ``at_least`` keeps all cores busy on a table that fills few.
+    """
+    return max(at_least, -(-df.count() // rows))
 
 
 def spread(df: DataFrame, column: str, partitions: int | None = None, salts: int = 1) -> DataFrame:

@@ -275,11 +275,15 @@ def ml_kmeans_cost(t: Tables) -> DataFrame:
 ROWS_PER_PARTITION = 1_000_000
 
 
+def _cores(t: Tables) -> int:
+    return t.spark.sparkContext.defaultParallelism
+
+
 @query("lay_coalesce", "SELECT o_orderkey, o_custkey FROM orders")
 def lay_coalesce(t: Tables) -> DataFrame:
     # The number follows the table: a fixed one would leave a large cluster idle.
     orders = t.orders.select("o_orderkey", "o_custkey")
-    return orders.coalesce(partitions_for(orders, ROWS_PER_PARTITION))
+    return orders.coalesce(partitions_for(orders, ROWS_PER_PARTITION, _cores(t)))
 
 
 @query(
@@ -291,7 +295,7 @@ def lay_coalesce(t: Tables) -> DataFrame:
 )
 def lay_repartition(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_orderpriority")
-    number = partitions_for(orders, ROWS_PER_PARTITION)
+    number = partitions_for(orders, ROWS_PER_PARTITION, _cores(t))
     ways = {
         "by number": orders.repartition(number),
         "by column": spread(orders, "o_orderpriority"),

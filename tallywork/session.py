@@ -64,3 +64,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{scratch_root(spark)}/tallywork/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Remove one call's folder, as ``scratch_path`` gave it, once its result is no longer read."""
+    if not path.startswith(f"{scratch_root(spark)}/tallywork/"):
+        raise ValueError(f"not a scratch folder of this session: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(folder, True)

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallywork.sources.readers import load_or_empty
-
 
 def read_files(
     spark: SparkSession,
@@ -61,10 +59,17 @@ def latest_updates(
 ) -> DataFrame:
     """The running result: for each key the row of the last batch that changed it.
 
-    No batch yet means no rows.
+    No batch yet means no rows. A batch counts once its folder is committed, so one that a lost
+    driver left half written is not read before it is repeated.
     """
     with_batch = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
-    updates = load_or_empty(spark, lambda: spark.read.schema(with_batch).parquet(path), with_batch)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    committed = [str(s.getPath().getParent()) for s in files.globStatus(pattern) or []]
+    if committed:
+        updates = spark.read.schema(with_batch).option("basePath", path).parquet(*committed)
+    else:
+        updates = spark.createDataFrame([], with_batch)
     rest = [name for name in schema.fieldNames() if name not in keys]
     return (
         updates.groupBy(*keys)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from support import same_rows
-from tallywork.session import scratch_path
+from tallywork.session import drop_scratch, scratch_path
 from tallywork.streaming.files import (
     append_files,
     keep_updates,
@@ -101,3 +101,23 @@ def test_no_batch_means_no_rows(spark, tables):
     path = scratch_path(spark, "nothing")
     found = latest_updates(spark, path, spend.schema, KEYS)
     assert found.columns == spend.columns and found.isEmpty()
+
+
+def test_batches_that_are_not_committed_are_not_read(spark, tables, event_files):
+    path = scratch_path(spark, "spend")
+    spend = spend_of(read_files(spark, event_files, tables.events.schema, files_per_trigger=1))
+    assert latest_updates(spark, path, spend.schema, KEYS).count() == 0
+    keep_updates(spend, path, scratch_path(spark, "cp")).awaitTermination()
+    before = latest_updates(spark, path, spend.schema, KEYS).collect()
+    half = spend_of(tables.events).withColumn("total_cost", F.lit(0).cast(spend.schema["total_cost"].dataType))
+    quiet = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    half.write.option(quiet, "false").parquet(f"{path}/batch_id=99")
+    assert sorted(latest_updates(spark, path, spend.schema, KEYS).collect()) == sorted(before)
+
+
+def test_a_scratch_folder_can_be_dropped(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert drop_scratch(spark, path) and not drop_scratch(spark, path)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/elsewhere")
