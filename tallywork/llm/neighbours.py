@@ -19,8 +19,7 @@ START_ROUNDS = 2  # divisions into blocks that give the first neighbours
 BLOCK = 2_048  # vectors that one task compares with one another, or holds for requests
 ROUNDS = 3  # of NN-descent, unless few neighbours change before
 FEW = 0.02  # share of changed neighbours that ends it
-BEAM = 320  # nodes that a query keeps
-EXPAND = 96  # of these it expands in one step
+BEAM = 256  # nodes that a query keeps
 GRAPH = "node long, other long, score float, fresh boolean"
 
 
@@ -263,10 +262,9 @@ def _beams(pieces: DataFrame) -> DataFrame:
 
 def _wanted(met: DataFrame, targets: DataFrame, blocks: int) -> DataFrame:
     """Nodes a query has met (``query``, ``other``), each once, by block, with its vector."""
-    once = met.select("query", "other").distinct()
     return (
-        once.groupBy("query", _block("other", blocks).alias("block"))
-        .agg(F.collect_list("other").alias("ids"))
+        met.groupBy("query", _block("other", blocks).alias("block"))
+        .agg(F.collect_set("other").alias("ids"))
         .join(targets, "query")
     )
 
@@ -275,32 +273,23 @@ def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, count:
     """Best nodes of each query (``query``, ``ids``, ``scores``) by best-first search.
 
     ``queries`` has ``query``, ``start`` (a node) and ``target`` (packed doubles). Every step
-    expands the best nodes of a beam that are not expanded yet, for all queries at once, until
-    no beam has any. Nodes are met by joins with the graph and scored by blocks.
+    expands all nodes of a beam that are not expanded yet, for all queries at once, until no
+    beam has any; that takes few steps, each of some shuffles. Nodes are met by joins with the
+    graph and scored by blocks.
     """
     blocks = count // BLOCK + 1
     edges = written(_both_ways(graph).groupBy("node").agg(F.collect_set("other").alias("others")), "edges")
     targets = queries.select("query", "target")
     first = queries.select("query", F.col("start").alias("other"))
-    empty = F.expr("transform(ids, x -> false)")
-    beams = written(_beams(_scored(_wanted(first, targets, blocks), nodes, blocks).withColumn("done", empty)), "beams")
+    fresh, all_done = F.expr("transform(ids, x -> false)"), F.expr("transform(ids, x -> true)")
+    beams = written(_beams(_scored(_wanted(first, targets, blocks), nodes, blocks).withColumn("done", fresh)), "beams")
     while True:
-        opened = beams.select(
-            "query",
-            F.expr(f"slice(filter(ids, (x, i) -> NOT done[i]), 1, {EXPAND})").alias("front"),
-        ).where("size(front) > 0")
-        front = written(opened, "front")
+        front = beams.select("query", F.explode(F.expr("filter(ids, (x, i) -> NOT done[i])")).alias("node"))
         if front.isEmpty():
             return beams
-        met = front.select("query", F.explode("front").alias("node")).join(edges, "node").select(
-            "query", F.explode("others").alias("other")
-        )
-        news = _scored(_wanted(met, targets, blocks), nodes, blocks).withColumn("done", empty)
-        marked = beams.join(front, "query", "left").select(
-            "query", "ids", "scores",
-            F.expr("transform(ids, (x, i) -> done[i] OR coalesce(array_contains(front, x), false))").alias("done"),
-        )
-        beams = written(_beams(marked.unionByName(news)), "beams")
+        met = front.join(edges, "node").select("query", F.explode("others").alias("other"))
+        news = _scored(_wanted(met, targets, blocks), nodes, blocks).withColumn("done", fresh)
+        beams = written(_beams(beams.withColumn("done", all_done).unionByName(news)), "beams")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
