@@ -32,9 +32,6 @@ RETAIL_FORMS = {
     "GROUP BY invoice_no, customer_id",
     "flt_contains": "SELECT invoice_no, description FROM {retail} "
     "WHERE instr(description, 'RED') >= 1 OR instr(description, 'BLUE') >= 1",
-    "flt_boolcol": "SELECT unit_price, (stock_code = '99' AND (unit_price > 905 "
-    "OR instr(description, 'BLUE') >= 1)) AS is_costly FROM {retail} "
-    "WHERE stock_code = '99' AND (unit_price > 905 OR instr(description, 'BLUE') >= 1)",
     "nest_explode": "SELECT description, invoice_no, word FROM "
     "(SELECT *, split(description, ' ') AS parts FROM {retail}) "
     "LATERAL VIEW explode(parts) AS word",
@@ -46,6 +43,13 @@ RETAIL_FORMS = {
     "WINDOW falling AS (PARTITION BY customer_id, date ORDER BY quantity DESC NULLS LAST "
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
 }
+LINE_FORMS = {
+    "flt_boolcol": "SELECT l_partkey, CAST(l_shipdate AS STRING) AS shipped, open_late FROM "
+    "(SELECT *, l_partkey < 40 AND l_linestatus = 'O' "
+    "AND l_shipdate >= timestamp_ntz'1997-01-01 00:00:00' AS open_late FROM {lines}) WHERE open_late",
+    "agg_expr": "SELECT l_orderkey, CAST(max(l_shipdate) AS STRING) AS last_shipped, "
+    "count(*) FILTER (WHERE l_discount > 0.05D) AS discounted FROM {lines} GROUP BY l_orderkey",
+}
 FLIGHT_FORMS = {
     "topk_group": "SELECT dest_country_name, sum(count) AS arrivals FROM {flights} "
     "GROUP BY dest_country_name ORDER BY sum(count) DESC, dest_country_name LIMIT 5",
@@ -61,6 +65,12 @@ def test_on_retail(spark, tables, name):
     assert same_rows(REGISTRY[name].build(tables), in_sql)
 
 
+@pytest.mark.parametrize("name", sorted(LINE_FORMS))
+def test_on_line_items(spark, tables, name):
+    in_sql = spark.sql(LINE_FORMS[name], lines=tables.lineitem)
+    assert same_rows(REGISTRY[name].build(tables), in_sql)
+
+
 @pytest.mark.parametrize("name", sorted(FLIGHT_FORMS))
 def test_on_flights(spark, tables, name):
     in_sql = spark.sql(FLIGHT_FORMS[name], flights=flights(tables))
