@@ -22,8 +22,8 @@ from tallywork.llm.shared import table, with_texts
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-CACHED_PIECES = 500_000  # encoded pieces a worker remembers
-CACHED_PAIRS = 1_000_000  # outcomes of pair tests a worker remembers
+CACHED_PIECES = 500_000  # encoded pieces a task remembers
+CACHED_PAIRS = 200_000  # outcomes of pair tests a task remembers
 CACHED_LENGTH = 32  # longer pieces are encoded each time
 START = -1  # stands left of a text's first token
 
@@ -175,6 +175,10 @@ class Bpe:
                 self.pieces[piece] = known
         return known
 
+    def forget(self) -> None:
+        """Give the memory of both caches back; workers live on and do other work."""
+        self.pairs, self.pieces = {}, {}
+
     def encode_packed(self, text: str | None) -> bytes:
         """Ids of a whole text as packed 32-bit integers."""
         if not text:
@@ -209,9 +213,14 @@ def _vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", back: bool = False
+) -> DataFrame:
     """``<key>`` and ``ids`` (array<int>) of every row's whole text; no ids for null or empty.
 
+    With ``back`` also ``decoded``, the text of these ids, from the same pass: two passes would
+    need twice the workers at a time.
+
     Adds no start or end tokens. An added token's string within a text gives its id, as the
     public library has it. Rows keep their order and partitions: nothing is shuffled. Repeated
     rows are encoded like any others; other columns are not read.
@@ -226,10 +235,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
             np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
             values = pa.array(np.frombuffer(b"".join(packed), np.int32))
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[key, "ids"])
+            columns = {key: batch.column(0), "ids": ids} | ({"decoded": bpe.decode(ids)} if back else {})
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        bpe.forget()
 
     kind = docs.schema[key].dataType.simpleString()
-    return with_texts(docs).select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    schema = f"`{key}` {kind}, ids array<int>" + (", decoded string" if back else "")
+    return with_texts(docs).select(key, text).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -252,7 +264,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document the number of ids and the digests of ids and decoded text."""
     path = path or tokenizer_file()
-    both = decode(encode(docs, path), path)
+    both = encode(docs, path, back=True)
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select(
         "doc_id",

@@ -104,6 +104,14 @@ def test_registered_encoding_and_odd_texts(spark, library):
         assert sorted(map(tuple, found.collect()), key=str) == texts
 
 
+def test_decoding_alone_equals_decoding_at_once(spark):
+    docs = odd_docs(spark)
+    path = bpe.tokenizer_file()
+    alone = bpe.decode(bpe.encode(docs, path), path).collect()
+    assert sorted(alone, key=str) == sorted(bpe.encode(docs, path, back=True).collect(), key=str)
+    assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>"), path).first().decoded == ""
+
+
 def test_no_texts_to_encode(spark):
     assert bpe.digests(spark.createDataFrame([], DOCS)).collect() == []
 
