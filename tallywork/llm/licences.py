@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +30,7 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"  # terms of lower-cased text
-# A notice has one of these words; every template does.
+# Words that OP6_SQL picks its candidate lines by; licence_lines does not read them.
 ANCHORS = ["licence", "licences", "licensed", "license", "licenses", "permission", "redistribution"]
 LEAST = 0.6  # cosine of a line that counts as a notice
 FILE_SHARE = 0.25  # of a text's characters in notices, from which it is a licence file
@@ -44,9 +49,9 @@ def licence_lines(files: DataFrame, text: str) -> DataFrame:
     """Distinct lines that are notices: ``line``, ``licence`` and ``cosine``.
 
     Terms of templates weigh tf * (ln((1 + files) / (1 + files with the term)) + 1), counted
-    over all files; other terms weigh tf. A line is compared if it has one of ``ANCHORS``, in
-    sparse form: only with templates that share a term. Of equal cosines (to 9 digits) the
-    first name wins.
+    over all files; other terms weigh tf. Lines are compared in sparse form: only with
+    templates that share a term. Lines without a term of ``telling_terms`` are left out
+    before, as none can reach ``LEAST``. Of equal cosines (to 9 digits) the first name wins.
     """
     spark = files.sparkSession
     templates = spark.createDataFrame(TEMPLATES, "licence string, line string")
@@ -62,7 +67,7 @@ def licence_lines(files: DataFrame, text: str) -> DataFrame:
     weights = spark.createDataFrame([(w, seen.get(w, 0)) for w in words], "term string, n long").select(
         "term", (F.log((1 + F.lit(every)) / (1 + F.col("n"))) + 1).alias("idf")
     )
-    lines = candidate_lines(files.select(F.col(text).alias("text"))).distinct()
+    lines = candidate_lines(files.select(F.col(text).alias("text")), telling_terms(seen, every)).distinct()
     terms = _counted(lines, "line").join(F.broadcast(weights), "term", "left")
     weighed = terms.select("line", "term", (F.col("tf") * F.coalesce("idf", F.lit(1.0))).alias("w"), F.col("idf").isNotNull().alias("known"))
     norms = weighed.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -84,11 +89,33 @@ def licence_lines(files: DataFrame, text: str) -> DataFrame:
     return best.where(F.col("cosine") >= LEAST)
 
 
-def candidate_lines(texts: DataFrame) -> DataFrame:
-    """Lines of whole texts with an anchor among their terms."""
+def telling_terms(seen: Mapping[str, int], files: int) -> list[str]:
+    """Terms of templates of which every line with a cosine of ``LEAST`` has at least one.
+
+    A line that shares only the terms D with a template has a cosine of at most the length of
+    the template's vector on D over its whole length (Cauchy-Schwarz). So of every template
+    the terms of most files are left out as long as that stays below ``LEAST``, with a margin
+    far above rounding; whatever the weights are, nothing that reaches ``LEAST`` is lost.
+    """
+    kept = set()
+    for _, line in TEMPLATES:
+        counts = Counter(re.findall(TERM, line.lower()))
+        square = {w: (tf * (math.log((1 + files) / (1 + seen.get(w, 0))) + 1)) ** 2 for w, tf in counts.items()}
+        room = (LEAST - 1e-6) ** 2 * sum(square.values())
+        for term in sorted(square, key=lambda w: (-seen.get(w, 0), w)):
+            room -= square[term]
+            if room <= 0:
+                kept.add(term)
+    return sorted(kept)
+
+
+def candidate_lines(texts: DataFrame, words: list[str]) -> DataFrame:
+    """Lines of whole texts that may have one of the words among their terms; no other is lost."""
     line = F.explode(F.split("text", "\n", -1)).alias("line")
-    words = "(^|[^a-z0-9])(" + "|".join(ANCHORS) + ")([^a-z0-9]|$)"
-    return texts.select(line).where(F.lower("line").rlike(words))
+    # A term also starts after a number with a point ("1.0mit") and, if it is one, may end before a letter.
+    plain, numbers = ("|".join(re.escape(w) for w in words if ("." in w) == dotted) for dotted in (False, True))
+    ends = [f"({plain})([^a-z0-9]|$)"] * bool(plain) + [f"({numbers})"] * bool(numbers)
+    return texts.select(line).where(F.lower("line").rlike("(^|[^a-z0-9]|[.][0-9]+)(" + "|".join(ends) + ")"))
 
 
 def directory(path: Column) -> Column:

@@ -1,7 +1,10 @@
 """Encoding, packing, classifiers, URLs, licences, mixing and the pipeline."""
 
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -303,6 +306,39 @@ def test_licences_and_their_directories(spark):
     assert licences.licences(df.limit(0)).collect() == []
 
 
+def plain_cosines(texts):
+    """Best cosine and licence of every line of the texts, all compared with all templates."""
+    terms = lambda t: Counter(re.findall(licences.TERM, t.lower()))
+    vocabulary = {w for _, t in licences.TEMPLATES for w in terms(t)}
+    df = Counter(w for t in texts for w in set(terms(t)) & vocabulary)
+    idf = {w: math.log((1 + len(texts)) / (1 + df[w])) + 1 for w in vocabulary}
+    found = {}
+    for line in {line for t in texts for line in t.split("\n")}:
+        x = {w: n * idf.get(w, 1) for w, n in terms(line).items()}
+        for licence, template in licences.TEMPLATES:
+            y = {w: n * idf[w] for w, n in terms(template).items()}
+            dot = sum(x[w] * y[w] for w in x.keys() & y.keys())
+            cosine = round(dot / math.hypot(*x.values()) / math.hypot(*y.values()), 9) if dot else 0
+            found[line] = min(found.get(line, (0, "")), (-cosine, licence))
+    return {line: (licence, -c) for line, (c, licence) in found.items() if -c >= licences.LEAST}
+
+
+def test_notices_without_usual_words_are_found(spark):
+    rng = random.Random(5)
+    pool = sorted({w for _, t in licences.TEMPLATES for w in t.split()} | {"some", "of", "usual", "prose", "v1.0mit", "4.0a", "GPL."})
+    texts = ["CC BY-NC 4.0", "prose\nAvailable under CC BY-NC 4.0.\nprose", "Creative Commons Attribution 4.0 International"]
+    texts += ["\n".join(" ".join(rng.choices(pool, k=rng.randint(1, 9))) for _ in range(6)) for _ in range(200)]
+    texts += [" ".join(t.split()[a:b]) for _, t in licences.TEMPLATES for a in range(4) for b in range(a + 2, 20, 3)]
+    texts += ["some usual prose of this and the work"] * 300
+    df = spark.createDataFrame([(f"{i}/a", t) for i, t in enumerate(texts)], "path string, text string")
+    expected = plain_cosines(texts)
+    found = {r.line: (r.licence, r.cosine) for r in licences.licence_lines(df, "text").collect()}
+    assert found.keys() == expected.keys() and {"CC BY-NC 4.0", "Creative Commons Attribution 4.0 International"} <= found.keys()
+    assert all(found[x][0] == expected[x][0] and abs(found[x][1] - expected[x][1]) < 2e-9 for x in found)
+    own = {r.path: (r.licence, r.basis) for r in licences.licences(df).where("path IN ('0/a', '1/a')").collect()}
+    assert own == {p: ("CC-BY-NC-4.0", "file") for p in ("0/a", "1/a")}
+
+
 # --- mixing --------------------------------------------------------------------------------
 
 
