@@ -214,7 +214,7 @@ def _vocabulary(spark: SparkSession, path: str):
 
 
 def encode(
-    docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", back: bool = False
+    docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", back: bool = False, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """``<key>`` and ``ids`` (array<int>) of every row's whole text; no ids for null or empty.
 
@@ -223,7 +223,8 @@ def encode(
 
     Adds no start or end tokens. An added token's string within a text gives its id, as the
     public library has it. Rows keep their order and partitions: nothing is shuffled. Repeated
-    rows are encoded like any others; other columns are not read.
+    rows are encoded like any others; of other columns only those of ``carry`` are read and
+    come after the key.
     """
     vocabulary = _vocabulary(docs.sparkSession, path)
 
@@ -235,13 +236,14 @@ def encode(
             np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
             values = pa.array(np.frombuffer(b"".join(packed), np.int32))
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-            columns = {key: batch.column(0), "ids": ids} | ({"decoded": bpe.decode(ids)} if back else {})
+            carried = {c: batch.column(2 + n) for n, c in enumerate(carry)}
+            columns = {key: batch.column(0)} | carried | {"ids": ids} | ({"decoded": bpe.decode(ids)} if back else {})
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
         bpe.forget()
 
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, ids array<int>" + (", decoded string" if back else "")
-    return with_texts(docs).select(key, text).mapInArrow(run, schema)
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (key, *carry))
+    schema = f"{kinds}, ids array<int>" + (", decoded string" if back else "")
+    return with_texts(docs).select(key, text, *carry).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -261,13 +263,14 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return with_texts(encoded).select(key, "ids").mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document the number of ids and the digests of ids and decoded text."""
+def digests(docs: DataFrame, path: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document the number of ids and the digests of ids and decoded text, after ``carry``."""
     path = path or tokenizer_file()
-    both = encode(docs, path, back=True)
+    both = encode(docs, path, back=True, carry=carry)
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select(
         "doc_id",
+        *carry,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),

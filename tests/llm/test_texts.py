@@ -394,6 +394,23 @@ def test_stages_against_the_operators(spark):
     assert sorted(mixed.collect()) == sorted(docs.collect()) and mixed.columns == docs.columns
 
 
+def test_sources_of_the_corpus_keep_to_their_weights(spark):
+    weights = mixing.WEIGHTS | {mixing.REST: mixing.REST_WEIGHT}
+    size, block = sum(weights.values()), mixing.BLOCK_ROWS
+    # One frame of every source, and of the hot one as many rows as of all others.
+    sources = [s for s, w in weights.items() for _ in range(w * block)] + ["src0"] * size * block
+    docs = spark.createDataFrame([(i, f"text {i}", "en", s, 6) for i, s in enumerate(sources)], DOCS)
+    found = corpus_pipeline.encoded_documents(spark, docs, SMALL).collect()
+    assert sorted((r.doc_id, r.source) for r in found) == list(enumerate(sources))
+    for slot in range(size):
+        for s, w in weights.items():
+            got = sum(1 for r in found if r.mix_slot <= slot and r.source == s)
+            assert abs(got / block - (slot + 1) * w / size) < 1
+    assert {r.source for r in found if r.mix_slot >= size} == {"src0"}
+    placed = mixing.mixed(docs, mixing.WEIGHTS, mixing.REST_WEIGHT).select("doc_id", "mix_slot", "mix_place").collect()
+    assert sorted((r.doc_id, r.mix_slot, r.mix_place) for r in found) == sorted(map(tuple, placed))
+
+
 def test_pipeline_on_odd_rows_and_none(spark, tmp_path):
     folder = str(tmp_path / "odd")
     odd_docs(spark).write.parquet(f"{folder}/documents.parquet")
