@@ -126,7 +126,9 @@ def labelled_sample(
     Rows of the held-out fold never get here. At most ``per_class`` documents of label 0 and 1
     are drawn by the hash of their id, and ``chars`` characters of each are taken, so the
     sample has a size that does not grow with the corpus. The share is over all rows that may
-    be learnt from. Of several labels for a document the greatest counts.
+    be learnt from. Of several labels for a document the greatest counts. Rows that share an id
+    are one document, learnt from one of its texts, which is drawn by hash before anything is
+    gathered; so an id with very many rows sends one row.
     """
     known = (
         labels.where(F.col(key).isNotNull() & F.col(target).isin(0, 1) & ~held_out(key, folds, fold))
@@ -139,12 +141,15 @@ def labelled_sample(
     order = [F.xxhash64("_id", F.lit(17)), F.col("_id")]
     drawn = [known.where(F.col("_label") == v).orderBy(*order).limit(per_class[v]) for v in (0, 1)]
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))
+    one = F.when(F.col("_text").isNotNull(), F.struct(F.xxhash64("_text", F.lit(17)), F.col("_text")))
     found = (
         docs.select(F.col(key).alias("_key"), F.substring(F.col(text), 1, chars).alias("_text"))
         .join(ids, F.col("_key") == F.col("_id"))
-        .select("_id", F.coalesce("_text", F.lit("")).alias("_text"), "_label")
+        .groupBy("_id", "_label")
+        .agg(F.min(one).alias("_one"))
+        .select("_id", F.coalesce("_one._text", F.lit("")).alias("_text"), "_label")
         .collect()
     )
-    # One order whatever the partitions, and one row for repeated rows.
-    rows = sorted({(r["_id"], r["_text"], r["_label"]) for r in found})
+    # One order whatever the partitions.
+    rows = sorted((r["_id"], r["_text"], r["_label"]) for r in found)
     return [(t, v) for _, t, v in rows], ones / (zeros + ones)

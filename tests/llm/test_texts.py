@@ -16,7 +16,7 @@ import corpus_pipeline
 from compare import connect, difference, spark_rows, sql_rows, type_differences
 from tallywork.llm import bpe, licences, minhash, mixing, packing, quality, toxicity, urls
 from tallywork.llm.queries import ORACLES, QUERIES
-from tallywork.llm.shared import held_out
+from tallywork.llm.shared import held_out, labelled_sample
 
 tokenizers = pytest.importorskip("tokenizers")
 SMALL = "/root/testdata/sf0.001"
@@ -217,6 +217,16 @@ def test_nothing_is_learnt_from_the_held_out_fold(spark):
     assert toxicity.toxicity(docs, labels).collect() == toxicity.toxicity(docs, turned).collect()
 
 
+def test_a_hot_id_gives_one_text_to_learn_from(spark):
+    hot = [(7, f"text {i}") for i in range(500)] + [(7, None)] * 20
+    docs = spark.createDataFrame([*hot, *((i, f"own {i}") for i in range(8, 40)), (40, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7, 41)], "doc_id long, toxic int")
+    sample, share = labelled_sample(docs.repartition(5), labels, "toxic", 4, 9, (100, 100), 50)
+    assert share == 0.5 and len(sample) == 34 and sum(t.startswith("text") for t, _ in sample) == 1
+    assert ("", 0) in sample and {(f"own {i}", i % 2) for i in range(8, 40)} < set(sample)
+    assert sample == labelled_sample(docs.repartition(3), labels, "toxic", 4, 9, (100, 100), 50)[0]
+
+
 def test_toxic_words_are_told_apart(spark):
     rng = random.Random(1)
     common = [f"{a}{b}ing" for a in "bcdfgh" for b in ("ol", "ar", "um", "ep")]
