@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tallywork.llm import bpe, licences, minhash, mixing, neighbours, packing, pivots, quality, toxicity, urls
+from tallywork.llm import (
+    bpe,
+    dialogue,
+    licences,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    pivots,
+    quality,
+    toxicity,
+    urls,
+)
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op9_vector_near_dedup": pivots.op9_vector_near_dedup,
     "op10_packed_rows": packing.op10_packed_rows,
+    "op11_conversation_repair": dialogue.op11_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op2_mixture": mixing.OP2_SQL,
     "op5_url_filter": urls.OP5_SQL,
     "op6_licences": licences.OP6_SQL,
+    "op11_conversation_repair": dialogue.OP11_SQL,
 }

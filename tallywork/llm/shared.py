@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,42 @@ def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Record
     return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 
 
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], names: tuple[str, ...], most: int = 20_000
+) -> Iterator[pa.Table]:
+    """Sorted batches dealt anew, so that rows with equal ``names`` come together.
+
+    Hands on once ``most`` rows wait; a group beyond that is waited for, so groups must be bounded.
+    """
+    waiting: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(pa.Table.from_batches([batch]))
+        if sum(t.num_rows for t in waiting) < most:
+            continue
+        rows = pa.concat_tables(waiting)
+        last = [rows.column(n)[-1].as_py() for n in names]
+        cut = _first_of_last(rows, names, last)
+        if cut:
+            yield rows.slice(0, cut)
+        waiting = [rows.slice(cut)]
+    if waiting:
+        yield pa.concat_tables(waiting)
+
+
+def _first_of_last(rows: pa.Table, names: tuple[str, ...], last: list) -> int:
+    """Number of the first row of the last group; groups lie together, so a bisection finds it."""
+    low, high = 0, rows.num_rows - 1
+    while low < high:
+        middle = (low + high) // 2
+        if [rows.column(n)[middle].as_py() for n in names] == last:
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
 def held_out(id_column: str, folds: int, fold: int):
     """Whether crc32 of the id as text falls into the fold that no model may learn from."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string")), F.lit(folds)) == fold, F.lit(False))
