@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallywork.llm import (
+    balls,
     bpe,
     dialogue,
     licences,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_vector_near_dedup": pivots.op9_vector_near_dedup,
     "op10_packed_rows": packing.op10_packed_rows,
     "op11_conversation_repair": dialogue.op11_conversation_repair,
+    "op13_ranked_search": balls.op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -35,4 +37,5 @@ ORACLES: dict[str, str] = {
     "op5_url_filter": urls.OP5_SQL,
     "op6_licences": licences.OP6_SQL,
     "op11_conversation_repair": dialogue.OP11_SQL,
+    "op13_ranked_search": balls.OP13_SQL,
 }

@@ -1,0 +1,146 @@
+"""Ranked search against scoring every document for every item."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallywork.llm import balls
+from tallywork.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def terms(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", lowered)
+
+
+def brute(docs, items, k=10):
+    held = [(doc, terms(text)) for doc, text in docs]
+    held = [(doc, Counter(t), len(t)) for doc, t in held if t]
+    count, total = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    answer = []
+    for item, text in set(items):
+        scores = []
+        for doc, counts, n in held:
+            m = 100 - 75 + 75 * n * count // total
+            score = 0
+            for t in terms(text):
+                w = math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1)))
+                tf = counts[t]
+                score += w * (1_000_000_000 * tf // (1000 * tf + 8 * m))
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0, doc))
+        scores.sort(key=lambda s: s[:3])
+        answer += [(item, rank, s[3], -s[0]) for rank, s in enumerate(scores[:k], 1)]
+    return sorted(answer, key=str)
+
+
+def answer(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def frames(spark, docs, items):
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+
+def corpus(seed, size=400):
+    draw = random.Random(seed)
+    words = [f"w{n}" for n in range(300)] + ["Straße", "straße", "ÉTÉ", "été", "日本", "x-y", "a_b", "It's"]
+    common = draw.choices(words, k=12)
+    texts = [" ".join(draw.choices(words, k=draw.randrange(1, 40))) for _ in range(size)]
+    texts[::7] = [" ".join(common) + f" tail{n % 3}" for n in range(len(texts[::7]))]  # ties and near copies
+    docs = list(enumerate(texts)) + [(7, "w1 w2 w3"), (7, "w1 w2 w3"), (None, "w1 w2 w3"), (900, None), (901, ""), (902, " \t!")]
+    items = [(n, " ".join(draw.choices(words, k=draw.randrange(1, 20)))) for n in range(30)]
+    items += [(50, " ".join(common)), (51, ""), (52, None), (53, "unknownterm"), (54, "W1 w1 W2"), (54, "w9"), (54, "w9"), (None, "w4")]
+    return docs, items
+
+
+def test_query_equals_brute_force(spark):
+    docs, items = (
+        [tuple(r) for r in spark.read.parquet(f"{SMALL}/{t}.parquet").select(k, "text").collect()]
+        for t, k in (("documents", "doc_id"), ("benchmark", "item_id"))
+    )
+    assert answer(QUERIES["op13_ranked_search"](spark, SMALL)) == brute(docs, items)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_odd_rows_many_slabs_and_trees(spark, seed, monkeypatch):
+    monkeypatch.setattr(balls, "SLAB_ITEMS", 10)
+    monkeypatch.setattr(balls, "CELLS", 1)  # the least window, 64 documents
+    monkeypatch.setattr(balls, "LEAF", 4)
+    docs, items = corpus(seed)
+    left, right = frames(spark, docs, items)
+    clashing = ["item_id", "rank", "score", "n", "terms", "counts", "part", "k", "t", "item"]
+    left = left.withColumns({c: F.lit("x") for c in clashing})
+    right = right.withColumns({c: F.lit("x") for c in ["id", "t", "doc_id", "rank"]})
+    assert answer(balls.ranked_documents(left, right)) == brute(docs, items)
+    assert answer(balls.ranked_documents(left, right, k=3)) == brute(docs, items, 3)
+
+
+def test_no_rows(spark):
+    docs, items = frames(spark, [(1, "a b")], [(1, "a")])
+    assert answer(balls.ranked_documents(docs, items.limit(0))) == []
+    assert answer(balls.ranked_documents(docs.limit(0), items)) == []
+    assert answer(balls.ranked_documents(docs.where("false"), items)) == []
+    assert answer(balls.ranked_documents(docs, items)) == brute([(1, "a b")], [(1, "a")])
+
+
+def test_long_texts_are_read_in_parts(monkeypatch):
+    text = "one two,three  ÉTÉ four-five " * 500
+    whole = balls.counted_terms(text)
+    monkeypatch.setattr(balls, "PART", 10)
+    assert balls.counted_terms(text) == whole == Counter(balls.TERM.findall(text))
+    assert balls.counted_terms("x" * 1_000 + " y") == Counter({"x" * 1_000: 1, "y": 1})
+
+
+def test_bounds_are_never_below_a_score_and_prune():
+    rng = np.random.default_rng(0)
+    width, size = 200, 600
+    scale = np.sqrt(rng.integers(1, 9_000, width).astype(float))
+    centres = [rng.choice(width, 30, replace=False) for _ in range(12)]
+    documents = [np.unique(np.append(rng.choice(centres[n % 12], 20), rng.choice(width, 2))) for n in range(size)]
+    row = np.repeat(np.arange(size), [len(d) for d in documents])
+    term = np.concatenate(documents)
+    value = rng.integers(1, 900_000, len(term))
+    tree = balls.BallTree(row, term, value, scale)
+    queries = np.zeros((40, width))
+    for n in range(40):
+        queries[n, rng.choice(centres[n % 12], 8)] = scale[0]
+    bounds = tree.bounds(queries)
+    dense = np.zeros((size, width))
+    dense[row, term] = value * scale[term]
+    products = queries @ dense[tree.order].T
+    for node, (low, high) in enumerate(zip(tree.low, tree.high)):
+        assert (bounds[:, node] >= products[:, low:high].max(axis=1)).all()
+    scored = 0
+    for n in range(40):
+        numbers = np.flatnonzero(queries[n])
+        weights = rng.integers(1, 9, len(numbers))
+        best = balls.Best(10)
+        exact = np.zeros((1, width))
+        exact[0, numbers] = weights / scale[numbers]
+        scored += balls.search_tree(tree, tree.bounds(exact)[0], list(tree.order), (numbers, weights), best)
+        plain = np.zeros((size, width), int)
+        plain[row, term] = value
+        expected = sorted((-int(s), i) for i, s in enumerate(plain[:, numbers] @ weights) if s > 0)[:10]
+        assert [(s, i) for s, _, i in best.found] == expected
+    assert scored < 0.8 * 40 * size
+
+
+def test_hot_term_and_item_stay_with_their_tasks(spark):
+    # A third of all rows are one document and a term is in nearly all: tasks send ten rows an item.
+    docs = spark.range(0, 30_000, 1, 6).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot hot', concat('hot w', id % 500)) AS text")
+    items = spark.createDataFrame([(n, f"hot w{n}") for n in range(20)], "item_id long, text string")
+    held = balls.written(balls._counted(docs, ["hot", "w1"], "text", "doc_id"), "terms")
+    found = balls._found(held.where("part = 0"), [(1, np.array([1]), np.array([1]))], np.array([0, 5]), 30_000, 60_000, 10)
+    assert found.count() <= 60
+    rows = [tuple(r) for r in docs.collect()]
+    assert answer(balls.ranked_documents(docs, items)) == brute(rows, [tuple(r) for r in items.collect()])
