@@ -6,6 +6,7 @@ from tallywork.llm import (
     balls,
     bpe,
     dialogue,
+    grouping,
     licences,
     minhash,
     mixing,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_vector_near_dedup": pivots.op9_vector_near_dedup,
     "op10_packed_rows": packing.op10_packed_rows,
     "op11_conversation_repair": dialogue.op11_conversation_repair,
+    "op12_best_fit_packing": grouping.op12_best_fit_packing,
     "op13_ranked_search": balls.op13_ranked_search,
 }
 
