@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywork.operators.sizes import reads_little
+
 Keys = Sequence[tuple[str, str]]
 
 
@@ -53,18 +55,109 @@ def without_match(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
     return _against_keys(left, right, on, "left_anti")
 
 
-def _with_null_columns(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema])
+HOT_ROWS = 500_000  # rows of one key that one task may join
+HOT_KEYS = 1_000  # keys a side that may be found hot
+TRACKED = 8_192  # keys that each sketch of frequent keys holds
+SKETCH_GROUPS = 64  # sketches are merged in so many tasks before they meet in one
+
+
+def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``key`` and ``parts``: the frequent keys of a frame, and how many tasks' worth of rows each has.
+
+    Found by a sketch of frequent items, which every task fills from its own rows. A key with a
+    share above some 3.5 / TRACKED is surely found, a count may come out too large, and no key
+    is reported that does not occur. Null is no key. At most ``HOT_KEYS`` rows.
+    """
+    partial = (
+        df.select(key.alias("_key"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_part"))
+        .agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED})").alias("_sketch"))
+    )
+    # Grouped by a constant: without groups, tasks with no sketch would fail.
+    one = F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch")
+    merged = partial.groupBy(F.lit(0).alias("_all")).agg(one)
+    found = merged.select(F.expr(f"inline(approx_top_k_estimate(_sketch, {HOT_KEYS}))"))
+    return found.where((F.col("count") > hot_rows) & F.col("item").isNotNull()).select(
+        F.col("item").alias("key"), F.ceil(F.col("count") / hot_rows).cast("int").alias("parts")
+    )
+
+
+def _unused(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
 
+def _one_key(df: DataFrame, names: Sequence[str]) -> Column:
+    """The join key as one column: itself, or the text of all its parts (null if one is)."""
+    if len(names) == 1:
+        return F.col(names[0])
+    # Zeros of either sign are equal as keys, so they need one text.
+    parts = [
+        F.col(n) + 0 if df.schema[n].dataType.typeName() in ("double", "float") else F.col(n) for n in names
+    ]
+    whole = F.to_json(F.array(*[p.cast("string") for p in parts]))
+    return F.when(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names]), whole)
 
-def outer_join(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFrame:
-    """``left``, ``right`` or ``full`` outer join as matched rows plus unmatched rows.
 
-    AQE splits a hot key on both sides of an inner join and on the kept side of an anti join,
-    but never on the filled side of an outer join and not at all in a full one. So the rows
-    are put together from an inner join and anti joins against distinct keys. Each side is
-    evaluated two or three times for that, so it must give the same rows each time: write out
-    sides that an unsorted limit, ``rand`` or generated ids went into.
+def _place(df: DataFrame, into: Column) -> Column:
+    """A number below ``into`` that follows from the row alone, so a repeated task gives it again."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    return F.pmod(F.xxhash64(*hashed), into).cast("int")
+
+
+def spread_outer_join(
+    left: DataFrame, right: DataFrame, on: Keys, how: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """An outer join in which a hot key is dealt over many tasks; each side is shuffled once.
+
+    A key with many rows on the left is cut into ``a`` parts, one with many on the right into
+    ``b``: left rows go to one of the ``a`` parts and are repeated for each of the ``b``, right
+    rows the other way round, so each pair meets exactly once. A sketch reports only keys that
+    occur, so a row repeated for the other side's parts has a partner in some of them: without
+    one in a part it is left out there. Rows not repeated are unmatched exactly if they have no
+    partner. Rows with a null key never match; they are dealt out evenly. Rows equal in all
+    columns stay together.
+    """
+    left_key, right_key = (_one_key(df, [pair[i] for pair in on]) for i, df in enumerate((left, right)))
+    a, b, hot, salt, left_b, right_a = (_unused(n, left, right) for n in ("_a", "_b", "_hot", "_salt", "_left_b", "_right_a"))
+    most = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = hot_keys(left, left_key, hot_rows).select(F.col("key").alias(hot), F.col("parts").alias(a), F.lit(1).alias(b))
+    both = both.unionByName(
+        hot_keys(right, right_key, hot_rows).select(F.col("key").alias(hot), F.lit(1).alias(a), F.col("parts").alias(b))
+    )
+    parts = F.broadcast(  # at most 2 * HOT_KEYS rows
+        both.groupBy(hot).agg(*[F.least(F.max(n), F.lit(most)).alias(n) for n in (a, b)])
+    )
+
+    def salted(df: DataFrame, key: Column, own: str, other: str, repeats: str, order) -> DataFrame:
+        known = df.join(parts, key == F.col(hot), "left").withColumns(
+            {own: F.when(key.isNull(), most).otherwise(F.coalesce(own, F.lit(1))), other: F.coalesce(other, F.lit(1))}
+        )
+        dealt = known.withColumn(own, _place(df, F.col(own))).withColumn(repeats, F.col(other))
+        salts = F.transform(F.sequence(F.lit(0), F.col(other) - 1), lambda n: order(F.col(own), n))
+        return dealt.withColumn(salt, F.explode(salts)).drop(hot, own, other)
+
+    # The salt is the pair (part on the left, part on the right) as one number.
+    ours = salted(left, left_key, a, b, left_b, lambda i, j: i.cast("long") * most + j)
+    theirs = salted(right, right_key, b, a, right_a, lambda j, i: i.cast("long") * most + j)
+    theirs = theirs.withColumnRenamed(salt, f"{salt}r")
+    joined = ours.join(theirs, _equal(on) & (F.col(salt) == F.col(f"{salt}r")), how)
+    met = F.col(left_b).isNotNull() & F.col(right_a).isNotNull()
+    whole = F.coalesce(left_b, right_a) == 1  # no copy elsewhere
+    return joined.where(met | whole).select(*left.columns, *right.columns)
+
+
+def outer_join(
+    left: DataFrame, right: DataFrame, on: Keys, how: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``left``, ``right`` or ``full`` outer join that holds when one key has much of a side.
+
+    AQE splits a hot key on the kept side of an outer join, but never on the filled side and
+    not at all in a full one; ``spread_outer_join`` does without. Where the sides read little,
+    or their keys are of unlike types, it is Spark's own join.
     Column names must differ between the sides: rename first.
     """
     if how not in ("left", "right", "full"):
@@ -72,13 +165,10 @@ def outer_join(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFra
     shared = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
     if shared:
         raise ValueError(f"rename before the join: {', '.join(sorted(shared))}")
-    result = left.join(right, _equal(on), "inner")
-    if how in ("left", "full"):
-        result = result.unionByName(_with_null_columns(without_match(left, right, on), right))
-    if how in ("right", "full"):
-        swapped = [(r, l) for l, r in on]
-        result = result.unionByName(_with_null_columns(without_match(right, left, swapped), left))
-    return result
+    unlike = any(left.schema[l].dataType != right.schema[r].dataType for l, r in on)
+    if unlike or reads_little(left, right):
+        return left.join(right, _equal(on), how)
+    return spread_outer_join(left, right, on, how, hot_rows)
 
 
 def contains_join(left: DataFrame, array: str, right: DataFrame, element: str) -> DataFrame:

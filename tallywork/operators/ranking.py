@@ -7,6 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallywork.operators.sizes import reads_little
+from tallywork.session import scratch_path
 
 
 def top_groups(df: DataFrame, key: str, measure: str, k: int, total: str) -> DataFrame:
@@ -47,17 +51,22 @@ def value_ranks(
     """``rank``, ``dense_rank`` and ``running_max`` of each distinct value within its keys.
 
     The order is descending with nulls last. Rows are first counted per value, with map-side
-    sums, so a window sorts a key's distinct values and never its rows.
+    sums, so a window sorts distinct values and never rows. Where the frame reads much, the
+    counted values are first cut into ranges of about equal size (see ``_in_ranges``), so that no
+    task gets all values of a key that has very many.
 
-    ``bucket`` is for orders with very many distinct values: an expression of the order column
-    that never falls as the value rises (say ``floor(price / 100)``). Values are then ranked
-    within a bucket and shifted by the totals of the higher buckets.
+    ``bucket`` takes the place of these ranges: an expression of the order column that never
+    falls as the value rises (say ``floor(price / 100)``). Values are ranked within a bucket and
+    shifted by the totals of the higher buckets.
     """
     counts = df.groupBy(*keys, order).agg(F.count("*").alias("_n"))
-    if bucket is None:
+    if bucket is not None:
+        counts = counts.withColumn("_bucket", bucket)
+    elif reads_little(df):
         return _ranked_counts(counts, keys, order).drop("_n")
+    else:
+        counts = _in_ranges(counts, keys, order)
 
-    counts = counts.withColumn("_bucket", bucket)
     local = _ranked_counts(counts, [*keys, "_bucket"], order)
     totals = counts.groupBy(*keys, "_bucket").agg(
         F.sum("_n").alias("_rows"), F.count("*").alias("_values"), F.max(order).alias("_top")
@@ -80,6 +89,22 @@ def value_ranks(
     )
 
 
+def _in_ranges(counts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Counted values with ``_bucket``: the range of keys and values that each lies in.
+
+    Spark draws the ranges from a sample of the values, of any type that has an order, so a key
+    with very many values fills several and no caller has to know its distribution. Ranks within
+    and totals above a range must agree on where it ends, so the values are written to the
+    shared folder once and read from there.
+    """
+    ranged = counts.repartitionByRange(*keys, F.desc_nulls_last(order))
+    path = scratch_path(counts.sparkSession, "ranges")
+    # Ranges are numbered along the falling values; a bucket's number rises with them.
+    ranged.withColumn("_bucket", -F.spark_partition_id()).write.parquet(path)
+    fields = T.StructType([*counts.schema, T.StructField("_bucket", T.IntegerType())])
+    return counts.sparkSession.read.schema(fields).parquet(path)
+
+
 def _ranked_counts(counts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     falling = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(order))
     before = falling.rowsBetween(Window.unboundedPreceding, -1)
@@ -98,6 +123,20 @@ def with_ranks(
     """The rows of ``df`` with the three columns of ``value_ranks``.
 
     Rows meet their ranks in an equi-join on keys and value, which AQE can split where one
-    value is hot; a window over the rows themselves would sort each key in a single task.
+    value is hot; a window over the rows themselves would sort each key in a single task. That
+    window reads the rows once instead of twice, and is used where the frame reads little.
     """
+    if bucket is None and reads_little(df):
+        return _ranked_rows(df, keys, order)
     return _join_same(df, value_ranks(df, keys, order, bucket), [*keys, order])
+
+
+def _ranked_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    falling = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(order))
+    so_far = falling.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.select(
+        *df.columns,
+        F.rank().over(falling).cast("bigint").alias("rank"),
+        F.dense_rank().over(falling).cast("bigint").alias("dense_rank"),
+        F.max(order).over(so_far).alias("running_max"),
+    )

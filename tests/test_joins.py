@@ -1,18 +1,23 @@
 """Join types on the people tables, duplicate names, containment, and hot keys."""
 
+import re
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from people import persons, programs, statuses
 from support import SMALL_SKEW, final_plan, plan, rows, same_rows
+from tallywork.operators import sizes
 from tallywork.operators.joins import (
     all_pairs,
     broadcast_if_small,
     contains_join,
     having_match,
+    hot_keys,
     is_small,
     outer_join,
+    spread_outer_join,
     without_match,
 )
 
@@ -156,20 +161,68 @@ def hot(spark, settings):
     return facts, names.union(spark.sql("SELECT 7L AS k, 'seven' AS name"))
 
 
-def test_full_outer_join_splits_a_hot_key(hot):
+def largest_share(df):
+    """Of the rows, the share in the fullest partition of the joined frame."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_join_spreads_a_hot_key_in_one_pass(hot, settings, how):
+    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
     facts, names = hot
-    joined = outer_join(names, facts, [("k", "fk")], "full")
-    assert final_plan(joined).count("skew=true") >= 2
-    built_in = names.join(facts, F.col("k") == F.col("fk"), "full")
-    assert "skew=true" not in final_plan(built_in)
+    joined = spread_outer_join(names, facts, [("k", "fk")], how, hot_rows=2_000)
+    built_in = names.join(facts, F.col("k") == F.col("fk"), how)
     assert same_rows(joined, built_in)
+    text = final_plan(joined)
+    # Both sides are shuffled once each; the other exchanges carry sketches and hot keys.
+    assert len(re.findall(r"Exchange hashpartitioning\((?:k|fk)#", text)) == 2
+    assert largest_share(joined) < 0.2
+    if how == "full":
+        assert largest_share(built_in) > 0.3
 
 
-def test_left_outer_join_splits_a_hot_key_of_the_filled_side(hot):
-    facts, names = hot
-    joined = outer_join(names, facts, [("k", "fk")], "left")
-    assert "skew=true" in final_plan(joined)
-    assert same_rows(joined, names.join(facts, F.col("k") == F.col("fk"), "left"))
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_join_spreads_keys_hot_on_either_side(spark, how):
+    # Hot on the left only, on the right only, on both, with and without partners; nulls; repeats.
+    def side(numbers, key, value):
+        rows = [(k, f"{k}-{n}") for k, count in numbers.items() for n in range(count)]
+        return spark.createDataFrame(rows + rows[-3:], f"{key} int, {value} string").repartition(5)
+
+    left = side({1: 300, 2: 3, 3: 60, 4: 200, 6: 2, None: 100, 8: 1}, "k", "x")
+    right = side({1: 2, 2: 400, 3: 70, 5: 250, 6: 1, None: 90, 9: 1}, "j", "y")
+    joined = spread_outer_join(left, right, [("k", "j")], how, hot_rows=10)
+    assert same_rows(joined, left.join(right, left["k"] == right["j"], how))
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_spread_outer_join_on_several_keys(spark, how):
+    left = spark.range(3_000).selectExpr(
+        "if(id % 3 = 0, 0, id % 7) AS a", "if(id % 6 = 0, -0.0D, CAST(id % 3 AS DOUBLE)) AS b", "id AS _salt", "map(1, id) AS m"
+    )
+    right = spark.range(40).selectExpr("id % 8 AS c", "CAST(id % 5 AS DOUBLE) AS d", "id AS _hot", "if(id > 30, null, id) AS z")
+    on = [("a", "c"), ("b", "d")]
+    joined = spread_outer_join(left, right, on, how, hot_rows=20)
+    built_in = left.join(right, (left["a"] == right["c"]) & (left["b"] == right["d"]), how)
+    assert same_rows(joined, built_in)
+
+
+def test_outer_join_of_little_input_is_the_built_in_one(tables, monkeypatch):
+    customers = tables.customer.select("c_custkey", "c_name")
+    orders = tables.orders.select("o_custkey", "o_orderkey")
+    on = [("c_custkey", "o_custkey")]
+    little = outer_join(customers, orders, on, "full")
+    assert plan(little, "simple").count("FileScan") == 2 and "approx_top_k" not in plan(little)
+    monkeypatch.setattr(sizes, "SMALL_INPUT_BYTES", 0)
+    spread = outer_join(customers, orders, on, "full", hot_rows=5)
+    assert "approx_top_k" in plan(spread)
+    assert same_rows(little, spread)
+
+
+def test_hot_keys_are_those_with_many_rows(spark):
+    numbers = spark.range(0, 100_000, 1, 7).selectExpr("if(id % 3 = 0, 7, if(id % 5 = 0, null, id)) AS k")
+    found = rows(hot_keys(numbers, F.col("k"), 1_000), "key", "parts")
+    assert found == [(7, 34)]
 
 
 def test_semi_join_splits_a_key_hot_on_both_sides(hot):

@@ -1,10 +1,12 @@
 """Rankings against Spark's own window functions, sorts and top rows."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from support import plan, rows, same_rows
-from tallywork.operators.ranking import top_groups, top_rows, value_ranks, with_ranks
+from tallywork.operators import sizes
+from tallywork.operators.ranking import _in_ranges, top_groups, top_rows, value_ranks, with_ranks
 from tallywork.sources.tables import flights, retail
 
 
@@ -32,13 +34,48 @@ def sales(spark):
     )
 
 
-def test_ranks_equal_those_of_a_window(spark):
+@pytest.fixture
+def large(monkeypatch):
+    """Treat every input as one that reads much."""
+    monkeypatch.setattr(sizes, "SMALL_INPUT_BYTES", 0)
+
+
+def test_ranks_equal_those_of_a_window(spark, large):
     df = sales(spark)
     ranked = with_ranks(df, ["customer"], "amount")
     assert ranked.count() == 6_000
     assert same_rows(ranked, by_window(df, ["customer"], "amount"))
 
 
+def test_little_input_is_ranked_in_one_pass(tables):
+    dated = retail(tables, "customer_id", "quantity")
+    ranked = with_ranks(dated, ["customer_id"], "quantity")
+    assert plan(ranked, "simple").count("FileScan") == plan(dated, "simple").count("FileScan") == 2
+    assert same_rows(ranked, by_window(dated, ["customer_id"], "quantity"))
+
+
+@pytest.mark.parametrize("kind", ["BIGINT", "DOUBLE", "STRING", "DATE"])
+def test_no_task_ranks_all_values_of_a_key(spark, large, settings, kind):
+    # One key has a third of the rows, each with a value of its own; no bucket is given.
+    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12"})
+    value = {"DATE": "date_add(DATE'1900-01-01', CAST(id AS INT))"}.get(kind, f"CAST(id * 7919 % 60013 AS {kind})")
+    df = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, 1, id % 50) AS customer", f"if(id % 17 = 0, null, {value}) AS amount", "id AS row"
+    )
+    counts = df.groupBy("customer", "amount").agg(F.count("*").alias("_n"))
+    ranges = _in_ranges(counts, ["customer"], "amount").groupBy("customer", "_bucket").count()
+    assert ranges.where("customer = 1").count() >= 3
+    assert ranges.agg(F.max("count")).first()[0] < 60_000 / 6
+    assert same_rows(with_ranks(df, ["customer"], "amount"), by_window(df, ["customer"], "amount"))
+
+
+def test_ranks_of_no_rows_and_of_one_key(spark, large):
+    df = sales(spark)
+    assert with_ranks(df.where("false"), ["customer"], "amount").collect() == []
+    one = df.where("customer = 1")
+    assert same_rows(with_ranks(one, ["customer"], "amount"), by_window(one, ["customer"], "amount"))
+
+
 def test_ranks_in_buckets_equal_those_of_a_window(spark):
     df = sales(spark)
     bucket = F.floor(F.col("amount") / 16)
@@ -46,7 +83,7 @@ def test_ranks_in_buckets_equal_those_of_a_window(spark):
     assert same_rows(ranked, by_window(df, ["customer"], "amount"))
 
 
-def test_rank_has_gaps_and_dense_rank_has_none(spark):
+def test_rank_has_gaps_and_dense_rank_has_none(spark, large):
     df = spark.createDataFrame([("a", 9), ("a", 9), ("a", 5), ("b", 1)], "k string, v int")
     assert rows(with_ranks(df, ["k"], "v")) == [
         ("a", 5, 3, 2, 9),
@@ -56,10 +93,13 @@ def test_rank_has_gaps_and_dense_rank_has_none(spark):
     ]
 
 
-def test_the_window_sees_counted_values_only(spark):
+def test_the_window_sees_counted_values_only(spark, large):
     text = plan(value_ranks(sales(spark), ["customer"], "amount"), "simple")
+    # The counted values are read back from the ranges they were written in.
+    assert "ranges-" in text and "Range (0, 6000" not in text
+    in_buckets = value_ranks(sales(spark), ["customer"], "amount", F.floor(F.col("amount") / 16))
+    text = plan(in_buckets, "simple")
     assert text.index("Window") < text.index("HashAggregate")
-    assert text.count("Sort [") == 1
 
 
 def test_top_groups_keeps_only_k_rows_per_task(tables):
