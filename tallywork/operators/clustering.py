@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywork.functions.dates import weekday
 from tallywork.operators.layout import kept, partitions_for
@@ -70,33 +73,47 @@ def fit_kmeans(
         return KMeans(k=k, seed=seed, featuresCol="features").fit(training)
 
 
-def _centres(model: KMeansModel) -> Column:
-    """The centres number ``k`` and are part of the model, so they travel as constants."""
-    return F.array(
-        *[F.array(*[F.lit(float(x)) for x in centre]) for centre in model.clusterCenters()]
-    )
-
-
-def _distance(features: str, centre: Column) -> Column:
-    squares = F.zip_with(vector_to_array(features), centre, lambda x, c: (x - c) * (x - c))
-    return F.aggregate(squares, F.lit(0.0), lambda total, square: total + square)
+def with_distances(model: KMeansModel, assigned: DataFrame, features: str = "features") -> DataFrame:
+    """The rows of ``model.transform`` with ``own_distance`` and ``least_distance``.
 
+    Squared distances to the row's own centre and to the nearest of all. Whole batches of rows
+    are multiplied with the matrix of the centres, which are part of the model and few; the two
+    distances are then taken from the differences, so that large coordinates cost no digits. The
+    feature vectors themselves are left out.
+    """
+    centres = np.array([list(c) for c in model.clusterCenters()], float)
+    carried = [c for c in assigned.columns if c != features]
+    clashing = {"_places", "own_distance", "least_distance"} & set(carried)
+    if clashing:
+        raise ValueError(f"rename before measuring: {', '.join(sorted(clashing))}")
+    fields = [assigned.schema[c] for c in carried]
+    schema = T.StructType(
+        [*fields, T.StructField("own_distance", T.DoubleType()), T.StructField("least_distance", T.DoubleType())]
+    )
 
-def squared_distance(model: KMeansModel, features: str = "features") -> Column:
-    """Squared distance of a row to its own cluster centre, computed in the JVM."""
-    return _distance(features, F.get(_centres(model), F.col("prediction")))
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half = (centres**2).sum(axis=1) / 2
+        for batch in batches:
+            places = batch.column("_places").flatten().to_numpy().reshape(batch.num_rows, -1)
+            # |x - c|^2 / 2 = |x|^2 / 2 - x.c + |c|^2 / 2, and the first term is one for all centres.
+            nearest = (half - places @ centres.T).argmin(axis=1)
+            own = batch.column(model_column).to_numpy(zero_copy_only=False)
+            distances = [pa.array(((places - centres[at]) ** 2).sum(axis=1)) for at in (own, nearest)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in carried), *distances], names=[*carried, "own_distance", "least_distance"]
+            )
 
-def least_distance(model: KMeansModel, features: str = "features") -> Column:
-    """Squared distance of a row to the nearest of all centres."""
-    return F.array_min(F.transform(_centres(model), lambda centre: _distance(features, centre)))
+    model_column = model.getPredictionCol()
+    places = vector_to_array(features).alias("_places")
+    return assigned.select(*carried, places).mapInArrow(run, schema)
 
 
 def cluster_costs(model: KMeansModel, features: DataFrame) -> DataFrame:
     """Rows and summed squared distance per cluster, for training or any other rows."""
+    column = model.getFeaturesCol()
+    assigned = model.transform(features).select(column, model.getPredictionCol())
     return (
-        model.transform(features)
-        .withColumn("_distance", squared_distance(model))
-        .groupBy("prediction")
-        .agg(F.count("*").alias("n"), F.sum("_distance").alias("cost"))
+        with_distances(model, assigned, column)
+        .groupBy(model.getPredictionCol())
+        .agg(F.count("*").alias("n"), F.sum("own_distance").alias("cost"))
     )

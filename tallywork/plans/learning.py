@@ -11,8 +11,7 @@ from tallywork.functions.udfs import power3, power3_native, register_udfs
 from tallywork.operators.clustering import (
     fit_features,
     fit_kmeans,
-    least_distance,
-    squared_distance,
+    with_distances,
     with_part,
     with_weekday,
 )
@@ -209,9 +208,9 @@ def _clustered(t: Tables) -> tuple[DataFrame, KMeansModel]:
 def ml_kmeans(t: Tables) -> DataFrame:
     # Every training row is assigned, to the centre that is nearest of all.
     features, clusters = _clustered(t)
-    assigned = clusters.transform(features.where("part = 'train'"))
-    own, least = squared_distance(clusters), least_distance(clusters)
-    return assigned.agg(
+    assigned = clusters.transform(features.where("part = 'train'")).select("features", "prediction")
+    own, least = F.col("own_distance"), F.col("least_distance")
+    return with_distances(clusters, assigned).agg(
         F.count("*").alias("n"),
         F.every(own <= least + 1e-6 * (1 + least)).alias("each_at_its_nearest"),
         (F.count_distinct("prediction") <= 20).alias("at_most_k"),
@@ -242,19 +241,18 @@ def ml_kmeans_cost(t: Tables) -> DataFrame:
     # For the training part clusters cost no more than one centre at the mean, nor more than the
     # fit reports (for the centres before its last move); the other part is measured against the same centres without a promise.
     features, clusters = _clustered(t)
-    places = vector_to_array("features")
     size = len(clusters.clusterCenters()[0])
+    place = [F.get("places", F.lit(i)) for i in range(size)]
+    assigned = clusters.transform(features).select(
+        "part", "features", "prediction", vector_to_array("features").alias("places")
+    )
     measured = (
-        clusters.transform(features)
-        .withColumn("_distance", squared_distance(clusters))
+        with_distances(clusters, assigned)
         .groupBy("part")
         .agg(
             F.count("*").alias("n"),
-            F.sum("_distance").alias("cost"),
-            sum(
-                (F.var_pop(F.get(places, F.lit(i))) for i in range(1, size)),
-                F.var_pop(F.get(places, F.lit(0))),
-            ).alias("spread"),
+            F.sum("own_distance").alias("cost"),
+            sum((F.var_pop(p) for p in place[1:]), F.var_pop(place[0])).alias("spread"),
         )
     )
     total = F.col("spread") * F.col("n")

@@ -2,8 +2,10 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from support import rows
@@ -12,6 +14,7 @@ from tallywork.operators.clustering import (
     fit_features,
     fit_kmeans,
     split_at,
+    with_distances,
     with_weekday,
 )
 from tallywork.sources.tables import retail
@@ -84,6 +87,32 @@ def test_cluster_cost_equals_brute_force_and_the_model(parts, features):
     assert held_out.agg(F.sum("n")).first()[0] == parts[1].count()
 
 
+def test_distances_equal_brute_force(parts, features):
+    model = fit_kmeans(features.transform(parts[0]), k=20, seed=1)
+    both = model.transform(features.transform(parts[1])).select("quantity", "features", "prediction")
+    centres = model.clusterCenters()
+    measured = with_distances(model, both)
+    assert measured.columns == ["quantity", "prediction", "own_distance", "least_distance"]
+    points = {tuple(r.features.toArray()): r.prediction for r in both.collect()}
+    expected = {
+        (round(((p - c) ** 2).sum(), 6), round(min(((p - x) ** 2).sum() for x in centres), 6))
+        for p, c in ((np.array(p), centres[at]) for p, at in points.items())
+    }
+    found = {(round(r.own_distance, 6), round(r.least_distance, 6)) for r in measured.collect()}
+    assert found == expected
+
+
+def test_distances_keep_their_digits_far_from_the_origin(spark):
+    rows = [(Vectors.dense([1e8 + n % 2, 5.0 * (n % 2)]),) for n in range(40)]
+    df = spark.createDataFrame(rows, ["features"])
+    model = fit_kmeans(df, k=2, seed=1)
+    measured = with_distances(model, model.transform(df))
+    assert measured.agg(F.max("own_distance"), F.max("least_distance")).first() == (0.0, 0.0)
+    with pytest.raises(ValueError, match="own_distance"):
+        with_distances(model, model.transform(df.withColumn("own_distance", F.lit(1))))
+    assert with_distances(model, model.transform(df.where("false"))).collect() == []
+
+
 def test_scaled_features(parts):
     scaled = fit_features(parts[0], "day_of_week", ["unit_price", "quantity"], scale=True)
     first = F.get(vector_to_array("features"), F.lit(1))

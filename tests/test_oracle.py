@@ -10,9 +10,9 @@ from conftest import SMALL
 from support import plan
 from tallywork.plans.catalog import REGISTRY
 
-# The operators whose feature is a pairing of small tables, or user code.
+# The operators whose feature is a pairing of small tables, or user code, or products of matrices.
 PAIRS_ALLOWED = {"join_cross"}
-PYTHON_ALLOWED = {"udf_column", "udf_sql"}
+PYTHON_ALLOWED = {"udf_column", "udf_sql", "ml_kmeans", "ml_kmeans_cost"}
 
 
 @pytest.fixture(scope="module")
