@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tallywork.operators.sketches import frequent_estimates
+
 AGGREGATES = {
     "avg": F.avg,
     "count": F.count,
@@ -162,12 +165,23 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFram
 def frequent_items(df: DataFrame, columns: Sequence[str], support: float = 0.01) -> DataFrame:
     """Values found in at least ``support`` of all rows: ``column_name``, ``item``, ``n``.
 
-    Exact, where Spark's ``freqItems`` may add false positives. One pass over the data.
+    Exact, where Spark's ``freqItems`` may add false positives, and nulls count as a value. Two
+    passes: sketches of bounded size name every value that may be frequent, at most some
+    2 / ``support`` a column; then only these are counted. Counting all values at once would
+    shuffle each distinct one.
     """
     total = df.select(F.count("*")).scalar()
+    texts = {name: F.col(name).cast("string") for name in columns}
+    # A frequent value is estimated at the support or more, another one only if its true share
+    # lies within the sketch's error of it, less than half the support.
+    k, tracked = math.ceil(2 / support), math.ceil(8 / support)
+    likely = frequent_estimates(df, texts, k, tracked).where(F.col("estimate") >= F.lit(support) * total)
+    likely = F.broadcast(likely.select(F.col("column_name").alias("_name"), F.col("item").alias("_item")))
+    same = (F.col("column_name") == F.col("_name")) & F.col("item").eqNullSafe(F.col("_item"))
     return (
-        df.select(*[F.col(name).cast("string").alias(name) for name in columns])
+        df.select(*[text.alias(name) for name, text in texts.items()])
         .unpivot([], list(columns), "column_name", "item")
+        .join(likely, same, "left_semi")
         .groupBy("column_name", "item")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= F.lit(support) * total)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.operators.sizes import reads_little
+from tallywork.operators.sketches import frequent_estimates
 
 Keys = Sequence[tuple[str, str]]
 
@@ -58,7 +59,6 @@ def without_match(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
 HOT_ROWS = 500_000  # rows of one key that one task may join
 HOT_KEYS = 1_000  # keys a side that may be found hot
 TRACKED = 8_192  # keys that each sketch of frequent keys holds
-SKETCH_GROUPS = 64  # sketches are merged in so many tasks before they meet in one
 
 
 def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -68,17 +68,9 @@ def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     share above some 3.5 / TRACKED is surely found, a count may come out too large, and no key
     is reported that does not occur. Null is no key. At most ``HOT_KEYS`` rows.
     """
-    partial = (
-        df.select(key.alias("_key"))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_part"))
-        .agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED})").alias("_sketch"))
-    )
-    # Grouped by a constant: without groups, tasks with no sketch would fail.
-    one = F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch")
-    merged = partial.groupBy(F.lit(0).alias("_all")).agg(one)
-    found = merged.select(F.expr(f"inline(approx_top_k_estimate(_sketch, {HOT_KEYS}))"))
-    return found.where((F.col("count") > hot_rows) & F.col("item").isNotNull()).select(
-        F.col("item").alias("key"), F.ceil(F.col("count") / hot_rows).cast("int").alias("parts")
+    found = frequent_estimates(df, {"key": key}, HOT_KEYS, TRACKED)
+    return found.where((F.col("estimate") > hot_rows) & F.col("item").isNotNull()).select(
+        F.col("item").alias("key"), F.ceil(F.col("estimate") / hot_rows).cast("int").alias("parts")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,3 +141,30 @@ def _ranked_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
         F.dense_rank().over(falling).cast("bigint").alias("dense_rank"),
         F.max(order).over(so_far).alias("running_max"),
     )
+
+
+def with_row_numbers(df: DataFrame, order: Sequence[str | Column], name: str = "row_number") -> DataFrame:
+    """The rows with their consecutive numbers, from 1, in a total order of the whole frame.
+
+    A window without keys would sort everything in one task. Here the rows are sorted in ranges
+    over all tasks and written to the shared folder with their place, so that a repeated task
+    cannot number them anew; only the ranges' sizes meet, in the driver, one number for each.
+    Rows that are equal in ``order`` are numbered in any order. Names of columns must not start
+    with ``_place``.
+    """
+    if name in df.columns or "_place" in df.columns:
+        raise ValueError(f"rename before numbering: {name} or _place")
+    path = scratch_path(df.sparkSession, "numbered")
+    # The upper bits of a place hold the range's number, the lower 33 count its rows from 0.
+    df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    fields = T.StructType([*df.schema, T.StructField("_place", T.LongType())])
+    placed = df.sparkSession.read.schema(fields).parquet(path)
+    part = F.shiftright("_place", 33)
+    sizes = sorted(tuple(r) for r in placed.groupBy(part.alias("part")).agg(F.count("*")).collect())
+    starts = accumulate((n for _, n in sizes[:-1]), initial=1)
+    first = df.sparkSession.createDataFrame(
+        [(p, start) for (p, _), start in zip(sizes, starts)], "_place_part long, _place_start long"
+    )
+    numbered = placed.join(F.broadcast(first), part == F.col("_place_part"))
+    within = F.col("_place").bitwiseAND(F.lit(2**33 - 1))
+    return numbered.select(*df.columns, (F.col("_place_start") + within).alias(name))

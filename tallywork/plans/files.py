@@ -9,14 +9,21 @@ from pyspark.sql import types as T
 from tallywork.operators.layout import spread
 from tallywork.plans.registry import on_flights, query
 from tallywork.session import scratch_path
-from tallywork.sources.readers import bind, load_or_empty, read_csv, read_json, read_parquet
+from tallywork.sources.readers import (
+    bind,
+    load_or_empty,
+    read_csv,
+    read_json,
+    read_parquet,
+    split_malformed,
+)
 from tallywork.sources.tables import Tables, flights
 from tallywork.sources.writers import write_csv, write_json, write_parquet
 from tallywork.streaming.files import append_files, keep_updates, latest_updates, read_files
 
 # Files per micro-batch: a rate limit, in proportion to a source of many files.
 FILES_PER_TRIGGER = 1_000
-MICRO_BATCHES = 4
+MICRO_BATCHES = 8
 
 FLIGHT_SCHEMA = T.StructType(
     [
@@ -113,6 +120,63 @@ def src_csv_schema(t: Tables) -> DataFrame:
     return read_csv(t.spark, path, schema=t.supplier.schema, mode="FAILFAST")
 
 
+# Lines as an export may have them: some amounts are words, some lines lack their last field.
+PAYMENT = T.StructType(
+    [
+        T.StructField("c_custkey", T.LongType()),
+        T.StructField("c_acctbal", T.DoubleType()),
+        T.StructField("c_mktsegment", T.StringType()),
+    ]
+)
+_PAYMENT_LINES = """
+SELECT c_custkey, c_custkey % 13 = 0 OR c_custkey % 17 = 0 AS bad,
+       concat(CAST(c_custkey AS VARCHAR(20)), ',',
+              CASE WHEN c_custkey % 13 = 0 THEN 'much' ELSE CAST(c_custkey % 1000 AS VARCHAR(20)) END,
+              CASE WHEN c_custkey % 17 = 0 THEN '' ELSE concat(',', c_mktsegment) END) AS line,
+       CASE WHEN c_custkey % 13 <> 0 THEN CAST(c_custkey % 1000 AS DOUBLE) END AS c_acctbal,
+       CASE WHEN c_custkey % 17 <> 0 THEN c_mktsegment END AS c_mktsegment
+FROM customer
+"""
+
+
+def _payment_file(t: Tables) -> str:
+    """The lines as text files, each with a header."""
+    path = scratch_path(t.spark, "payments")
+    t.customer.createOrReplaceTempView("customer")
+    lines = t.spark.sql(_PAYMENT_LINES).select(F.col("line").alias("c_custkey,c_acctbal,c_mktsegment"))
+    # Quoting is off, so that a line is written as it is.
+    lines.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    return path
+
+
+@query(
+    "src_csv_quarantine",
+    f"""
+    SELECT CASE WHEN NOT bad THEN c_custkey END AS c_custkey, CASE WHEN NOT bad THEN c_acctbal END AS c_acctbal,
+           CASE WHEN NOT bad THEN c_mktsegment END AS c_mktsegment, CASE WHEN bad THEN line END AS line
+    FROM ({_PAYMENT_LINES})
+    """,
+)
+def src_csv_quarantine(t: Tables) -> DataFrame:
+    # Good rows and bad lines from one pass; none is lost.
+    good, bad = split_malformed(t.spark, _payment_file(t), PAYMENT, scratch_path(t.spark, "checked"))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in PAYMENT]
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(bad.select(*nothing, "line"))
+
+
+@query("src_csv_permissive", f"SELECT c_custkey, c_acctbal, c_mktsegment FROM ({_PAYMENT_LINES})")
+def src_csv_permissive(t: Tables) -> DataFrame:
+    return read_csv(t.spark, _payment_file(t), schema=PAYMENT, mode="PERMISSIVE")
+
+
+@query(
+    "src_csv_dropmalformed",
+    f"SELECT c_custkey, c_acctbal, c_mktsegment FROM ({_PAYMENT_LINES}) WHERE NOT bad",
+)
+def src_csv_dropmalformed(t: Tables) -> DataFrame:
+    return read_csv(t.spark, _payment_file(t), schema=PAYMENT, mode="DROPMALFORMED")
+
+
 @query("src_csv_glob", _ORDERS_SQL)
 def src_csv_glob(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "orders-by-priority")
@@ -291,7 +355,8 @@ def sink_stream_memory(t: Tables) -> DataFrame:
     totals = read_files(t.spark, source, t.events.schema, files_per_trigger=1).groupBy("event_type").agg(
         F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value")
     )
-    keep_updates(totals, results, scratch_path(t.spark, "checkpoint")).awaitTermination()
+    checkpoint = scratch_path(t.spark, "checkpoint")
+    keep_updates(totals, results, checkpoint, ["event_type"], merge_every=3).awaitTermination()
     latest = latest_updates(t.spark, results, totals.schema, ["event_type"])
     latest.createOrReplaceTempView("events_by_type")
     return t.spark.table("events_by_type").withColumn("total_value", F.col("total_value").cast("double"))

@@ -15,7 +15,14 @@ from tallywork.operators.clustering import (
     with_part,
     with_weekday,
 )
-from tallywork.operators.layout import kept, partition_profile, partitions_for, spread
+from tallywork.operators.layout import (
+    kept,
+    partition_profile,
+    partitions_for_bytes,
+    row_bytes,
+    spread,
+    text_bytes,
+)
 from tallywork.plans.registry import on_retail, query
 from tallywork.session import scratch_path
 from tallywork.sources.tables import Tables, retail
@@ -270,7 +277,7 @@ def ml_kmeans_cost(t: Tables) -> DataFrame:
 # --- layout --------------------------------------------------------------------------------
 
 
-ROWS_PER_PARTITION = 1_000_000
+BYTES_PER_PARTITION = 128 * 1024 * 1024
 
 
 def _cores(t: Tables) -> int:
@@ -281,7 +288,7 @@ def _cores(t: Tables) -> int:
 def lay_coalesce(t: Tables) -> DataFrame:
     # The number follows the table: a fixed one would leave a large cluster idle.
     orders = t.orders.select("o_orderkey", "o_custkey")
-    return orders.coalesce(partitions_for(orders, ROWS_PER_PARTITION, _cores(t)))
+    return orders.coalesce(partitions_for_bytes(orders, BYTES_PER_PARTITION, _cores(t)))
 
 
 @query(
@@ -293,7 +300,7 @@ def lay_coalesce(t: Tables) -> DataFrame:
 )
 def lay_repartition(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_orderpriority")
-    number = partitions_for(orders, ROWS_PER_PARTITION, _cores(t))
+    number = partitions_for_bytes(orders, BYTES_PER_PARTITION, _cores(t))
     ways = {
         "by number": orders.repartition(number),
         "by column": spread(orders, "o_orderpriority"),
@@ -305,6 +312,31 @@ def lay_repartition(t: Tables) -> DataFrame:
     return by_number.union(by_column).union(by_both)
 
 
+@query(
+    "lay_by_bytes",
+    """
+    SELECT 'orders' AS name, count(*) AS n, true AS near_target FROM orders
+    UNION ALL SELECT 'documents', count(*), true FROM documents
+    """,
+)
+def lay_by_bytes(t: Tables) -> DataFrame:
+    # Narrow rows and wide ones fill partitions of about the same size, whatever their number.
+    checks = []
+    for name in ("orders", "documents"):
+        df = getattr(t, name)
+        target = max(1, text_bytes(df) // 12)
+        laid = df.repartition(partitions_for_bytes(df, target))
+        sizes = laid.groupBy(F.spark_partition_id().alias("partition")).agg(
+            F.count("*").alias("n"), F.sum(row_bytes(df)).alias("bytes")
+        )
+        checks.append(
+            sizes.agg(F.sum("n").alias("n"), F.avg("bytes").alias("mean")).select(
+                F.lit(name).alias("name"), "n", F.col("mean").between(target / 2, target * 2).alias("near_target")
+            )
+        )
+    return checks[0].unionByName(checks[1])
+
+
 @query("lay_partition_profile", "SELECT count(*) AS n, true AS filled FROM lineitem")
 def lay_partition_profile(t: Tables) -> DataFrame:
     profile = partition_profile(t.lineitem)

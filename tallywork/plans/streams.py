@@ -27,6 +27,7 @@ def st_schema_reuse(t: Tables) -> DataFrame:
 
 # Files per micro-batch: a rate limit, in proportion to a source of many files.
 FILES_PER_TRIGGER = 1_000
+KEYS = ["user_id", "day"]
 
 
 def _running_spend(t: Tables) -> DataFrame:
@@ -35,8 +36,8 @@ def _running_spend(t: Tables) -> DataFrame:
     )
     spend = daily_spend(stream, "user_id", "ts", "value")
     path = scratch_path(t.spark, "spend")
-    keep_updates(spend, path, scratch_path(t.spark, "checkpoint")).awaitTermination()
-    return latest_updates(t.spark, path, spend.schema, ["user_id", "day"])
+    keep_updates(spend, path, scratch_path(t.spark, "checkpoint"), KEYS).awaitTermination()
+    return latest_updates(t.spark, path, spend.schema, KEYS)
 
 
 def _readable(spend: DataFrame) -> DataFrame:
@@ -66,3 +67,50 @@ def st_query_result(t: Tables) -> DataFrame:
         spend=_running_spend(t),
     )
     return _readable(largest)
+
+
+# Events reach us up to ten days late, by a number that follows from their id, in batches of
+# arrivals over eight days. A day's window closes three days after the latest event seen before.
+DELAY_DAYS = 3
+_ARRIVALS = """
+SELECT *, CAST(floor((date_diff('day', (SELECT min(ts) FROM events), ts) + event_id * 7919 % 11) / 8) AS INTEGER) AS batch
+FROM events
+"""
+
+
+def _arrived(t: Tables) -> DataFrame:
+    first = t.events.agg(F.min("ts")).scalar()
+    days = F.datediff("ts", first) + F.col("event_id") * 7919 % 11
+    return t.events.withColumn("batch", F.floor(days / 8).cast("int"))
+
+
+@query(
+    "st_late_events",
+    f"""
+    WITH arrived AS ({_ARRIVALS}),
+    marked AS (
+      SELECT *, (SELECT max(ts) FROM arrived b WHERE b.batch < a.batch) - INTERVAL {DELAY_DAYS} DAY AS watermark
+      FROM arrived a
+    ),
+    in_time AS (
+      SELECT * FROM marked
+      WHERE watermark IS NULL OR date_trunc('day', ts) + INTERVAL 1 DAY > watermark
+    )
+    SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP)::VARCHAR AS day,
+           CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total_cost
+    FROM in_time GROUP BY user_id, date_trunc('day', ts)
+    """,
+)
+def st_late_events(t: Tables) -> DataFrame:
+    # Every batch of arrivals is one run of the query, which goes on from its checkpoint: windows
+    # that the watermark has passed are dropped from the state, and rows for them are too late.
+    arrivals, source = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "events")
+    path, checkpoint = scratch_path(t.spark, "spend"), scratch_path(t.spark, "checkpoint")
+    _arrived(t).write.partitionBy("batch").parquet(arrivals)
+    staged = t.spark.read.parquet(arrivals)
+    for (batch,) in sorted(staged.select("batch").distinct().collect()):
+        staged.where(F.col("batch") == batch).select(*t.events.columns).write.mode("append").parquet(source)
+        stream = read_files(t.spark, source, t.events.schema)
+        spend = daily_spend(stream, "user_id", "ts", "value", f"{DELAY_DAYS} days")
+        keep_updates(spend, path, checkpoint, KEYS, merge_every=2).awaitTermination()
+    return _readable(latest_updates(t.spark, path, spend.schema, KEYS))

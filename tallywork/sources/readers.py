@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Spark's default pattern for zone-free timestamps stops at milliseconds.
@@ -34,6 +35,39 @@ def read_csv(
     return reader.csv(path)
 
 
+def split_malformed(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, target: str, sep: str = ","
+) -> tuple[DataFrame, DataFrame]:
+    """CSV rows that fit ``schema``, and the lines that do not, from one pass over the files.
+
+    Both parts are written below ``target``: the good rows with their types, the bad lines as
+    they are in ``line`` with the ``file`` they come from, so that they can be mended and read
+    again. A line is bad if a field does not parse or fields are missing or too many.
+    """
+    line = "_malformed_line"
+    with_line = T.StructType([*schema, T.StructField(line, T.StringType())])
+    rows = (
+        spark.read.option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", line)
+        .option("sep", sep)
+        .option("timestampNTZFormat", NTZ_FORMAT)
+        .schema(with_line)
+        .csv(path)
+        .withColumn("_file", F.input_file_name())
+        .withColumn("_bad", F.col(line).isNotNull())
+    )
+    rows.write.mode("overwrite").partitionBy("_bad").parquet(target)
+    everything = T.StructType(
+        [*with_line, T.StructField("_file", T.StringType()), T.StructField("_bad", T.BooleanType())]
+    )
+    # The folders' names tell the parts apart, so each read opens its own files only.
+    both = spark.read.schema(everything).parquet(target)
+    good = both.where("NOT _bad").select(*schema.fieldNames())
+    bad = both.where("_bad").select(F.col(line).alias("line"), F.col("_file").alias("file"))
+    return good, bad
+
+
 def read_json(
     spark: SparkSession,
     path: str | list[str],

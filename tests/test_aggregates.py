@@ -213,3 +213,22 @@ def test_collect_skips_nulls(spark):
 def test_sums_combine_before_the_shuffle(sales):
     text = plan(cube_sums(sales, ["day", "country"], "quantity"), "simple")
     assert text.count("partial_sum") == 2
+
+
+def test_frequent_items_are_exact_beyond_the_sketch(spark):
+    # Far more values than a sketch tracks, some just above and some just below the bound.
+    value = "CASE WHEN id % 20 = 0 THEN 'a' WHEN id % 33 = 1 THEN 'b' WHEN id % 49 = 2 THEN NULL WHEN id % 51 = 3 THEN 'd' ELSE CAST(id AS STRING) END"
+    df = spark.range(0, 200_000, 1, 9).selectExpr(f"{value} AS text", "id % 40 AS number", "id AS single")
+    found = frequent_items(df, ["text", "number", "single"], 0.02)
+    texts = df.groupBy("text").count().where("count >= 0.02 * 200000")
+    expected = {("text", r["text"], r["count"]) for r in texts.collect()}
+    expected |= {("number", str(n), 5_000) for n in range(40)}
+    assert {tuple(r) for r in found.select("column_name", "item", "n").collect()} == expected
+    assert frequent_items(df.where("false"), ["text"], 0.5).collect() == []
+
+
+def test_frequent_items_shuffle_candidates_only(spark):
+    df = spark.range(0, 300_000, 1, 4).selectExpr("if(id % 3 = 0, -1, id) AS v")
+    found = frequent_items(df, ["v"], 0.1)
+    assert [tuple(r) for r in found.collect()] == [("v", "-1", 100_000)]
+    assert "LeftSemi" in plan(found) and "approx_top_k" in plan(found).lower()

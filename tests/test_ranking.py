@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from support import plan, rows, same_rows
 from tallywork.operators import sizes
-from tallywork.operators.ranking import _in_ranges, top_groups, top_rows, value_ranks, with_ranks
+from tallywork.operators.ranking import (
+    _in_ranges,
+    top_groups,
+    top_rows,
+    value_ranks,
+    with_ranks,
+    with_row_numbers,
+)
 from tallywork.sources.tables import flights, retail
 
 
@@ -148,3 +155,25 @@ def test_registered_sorts_are_in_order(spark, tables):
 def test_window_query_runs_on_dates_of_any_source(tables):
     dated = retail(tables, "customer_id", "invoice_ts", "quantity")
     assert dated.where("customer_id IS NULL").count() > 0
+
+
+def test_row_numbers_are_those_of_a_window(spark, settings):
+    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    df = spark.range(5_000).selectExpr("if(id % 3 = 0, null, id * 7919 % 100) AS a", "id AS b", "id AS _n").repartition(7, "_n")
+    order = [F.desc_nulls_last("a"), "b"]
+    numbered = with_row_numbers(df, order)
+    assert numbered.columns == ["a", "b", "_n", "row_number"]
+    window = df.withColumn("row_number", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    assert same_rows(numbered, window)
+    assert numbered.select(F.spark_partition_id()).distinct().count() > 1
+    # Read again, and from another frame built on it, the numbers are the same.
+    assert same_rows(numbered.where("row_number % 10 = 0"), window.where("row_number % 10 = 0"))
+
+
+def test_row_numbers_of_odd_frames(spark):
+    df = spark.range(10).selectExpr("id % 2 AS a")
+    assert rows(with_row_numbers(df.where("false"), ["a"])) == []
+    assert rows(with_row_numbers(df, ["a"]), "row_number") == sorted([(n,) for n in range(1, 11)], key=str)
+    assert rows(with_row_numbers(df.limit(1), ["a"], "n"), "n") == [(1,)]
+    with pytest.raises(ValueError, match="rename"):
+        with_row_numbers(df, ["a"], "a")

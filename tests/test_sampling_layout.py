@@ -3,7 +3,15 @@
 from pyspark.sql import functions as F
 
 from support import plan, rows, same_rows
-from tallywork.operators.layout import kept, partition_profile, partitions_for, spread
+from tallywork.operators.layout import (
+    kept,
+    partition_profile,
+    partitions_for,
+    partitions_for_bytes,
+    row_bytes,
+    spread,
+    text_bytes,
+)
 from tallywork.operators.sampling import hash_parts, hash_sample, hash_split
 from tallywork.session import scratch_path
 
@@ -114,3 +122,14 @@ def test_sql_and_dataframe_forms_give_one_plan(spark, tables):
         for df in (in_sql, in_python)
     ]
     assert operators[0] == operators[1]
+
+
+def test_partitions_follow_the_bytes(spark):
+    narrow = spark.range(100_000)
+    wide = spark.range(2_000).select("id", F.repeat(F.md5(F.col("id").cast("string")), 100).alias("pad"))
+    for df in (narrow, wide, narrow.limit(3)):
+        exact = df.agg(F.sum(row_bytes(df))).first()[0]
+        assert 0.8 * exact < text_bytes(df) < 1.2 * exact
+        assert text_bytes(df) == text_bytes(df)
+    assert partitions_for_bytes(wide, 64_000) in range(80, 140)
+    assert partitions_for_bytes(spark.range(0), 10) == 1 and partitions_for_bytes(narrow, 10**9, 8) == 8

@@ -10,7 +10,14 @@ from pyspark.sql import types as T
 from support import plan, rows, same_rows
 from tallywork.plans.files import FLIGHT_SCHEMA
 from tallywork.session import scratch_path, scratch_root
-from tallywork.sources.readers import bind, load_or_empty, read_csv, read_json, read_parquet
+from tallywork.sources.readers import (
+    bind,
+    load_or_empty,
+    read_csv,
+    read_json,
+    read_parquet,
+    split_malformed,
+)
 from tallywork.sources.tables import RETAIL_COLUMNS, flights, order_totals, retail
 from tallywork.sources.writers import write_csv, write_json, write_parquet
 
@@ -164,3 +171,23 @@ def test_flights_count_every_line(tables):
 def test_lines_made_distinct_before_their_look_ups(tables):
     ahead = retail(tables, distinct_lines=True)
     assert same_rows(ahead, retail(tables).distinct())
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    path = tmp_path / "mixed.csv"
+    path.write_text(
+        'dest_country_name,origin_country_name,count\nA,B,5\nA,C,many\nB,C\n"x,y",D,7\nE,F,8,9\n,,\n', encoding="utf-8"
+    )
+    good, bad = split_malformed(spark, str(path), FLIGHT_SCHEMA, scratch_path(spark, "split"))
+    assert good.columns == FLIGHT_SCHEMA.fieldNames()
+    assert rows(good) == [(None, None, None), ("A", "B", 5), ("x,y", "D", 7)]
+    assert rows(bad, "line") == [("A,C,many",), ("B,C",), ("E,F,8,9",)]
+    assert {r["file"].rsplit("/", 1)[1] for r in bad.collect()} == {"mixed.csv"}
+
+
+def test_files_with_good_or_bad_lines_only(spark, tmp_path):
+    for name, line, counts in (("good", "A,B,1", (1, 0)), ("bad", "A,B,x", (0, 1)), ("none", "", (0, 0))):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(f"dest_country_name,origin_country_name,count\n{line}\n", encoding="utf-8")
+        parts = split_malformed(spark, str(path), FLIGHT_SCHEMA, scratch_path(spark, "split"))
+        assert tuple(p.count() for p in parts) == counts

@@ -2,13 +2,15 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from support import same_rows
+from support import rows, same_rows
 from tallywork.session import drop_scratch, scratch_path
 from tallywork.streaming.files import (
     append_files,
     keep_updates,
     latest_updates,
+    merge_updates,
     read_files,
     to_memory_table,
 )
@@ -121,3 +123,70 @@ def test_a_scratch_folder_can_be_dropped(spark):
     assert drop_scratch(spark, path) and not drop_scratch(spark, path)
     with pytest.raises(ValueError):
         drop_scratch(spark, "/elsewhere")
+
+
+def folders(spark, path, kind):
+    from tallywork.streaming.files import _folders
+
+    return sorted(_folders(spark, path, kind))
+
+
+def test_reading_cost_does_not_grow_with_the_batches(spark, tables):
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("source", "spend", "cp"))
+    tables.events.repartition(24, "event_id").write.parquet(source)
+    stream = read_files(spark, source, tables.events.schema, files_per_trigger=1)
+    spend = spend_of(stream)
+    keep_updates(spend, path, checkpoint, KEYS, merge_every=4).awaitTermination()
+    result = latest_updates(spark, path, spend.schema, KEYS)
+    assert same_rows(result, spend_of(tables.events))
+    snapshots, batches = folders(spark, path, "upto"), folders(spark, path, "batch_id")
+    assert 1 <= len(snapshots) <= 2 and len([b for b in batches if b > snapshots[-1]]) < 4 * 10
+    assert len(batches) < 24  # the first ones are merged and gone
+    # What a reader opens: one snapshot and the few batches after it.
+    opened = {f.rsplit("/", 2)[1] for f in result.inputFiles()}
+    assert len(opened) <= 1 + len([b for b in batches if b > snapshots[-1]])
+
+
+def test_merged_results_go_on_after_a_restart(spark, tables):
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("source", "spend", "cp"))
+    for part in range(6):
+        arrived = tables.events.where(F.col("event_id") % 6 == part)
+        arrived.coalesce(1).write.mode("append").parquet(source)
+        spend = spend_of(read_files(spark, source, tables.events.schema, files_per_trigger=1))
+        keep_updates(spend, path, checkpoint, KEYS, merge_every=2).awaitTermination()
+        so_far = spend_of(tables.events.where(F.col("event_id") % 6 <= part))
+        assert same_rows(latest_updates(spark, path, spend.schema, KEYS), so_far)
+    assert folders(spark, path, "upto")
+
+
+def test_a_merge_cut_off_changes_nothing(spark, tables):
+    path, quiet = scratch_path(spark, "spend"), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    schema = T.StructType.fromDDL("k BIGINT, v BIGINT")
+
+    def batch(number, rows):
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+
+    batch(0, [(1, 10), (2, 20)])
+    batch(1, [(2, 21), (3, 30)])
+    # A snapshot that a lost driver left half written has no mark: it is not read, and is replaced.
+    spark.createDataFrame([(9, 9, 1)], "k long, v long, batch_id long").write.option(quiet, "false").parquet(f"{path}/upto=1")
+    assert rows(latest_updates(spark, path, schema, ["k"])) == [(1, 10), (2, 21), (3, 30)]
+    assert merge_updates(spark, path, schema, ["k"], 2) and folders(spark, path, "upto") == [1]
+    assert rows(latest_updates(spark, path, schema, ["k"])) == [(1, 10), (2, 21), (3, 30)]
+    # A batch that is repeated after its merge is covered already.
+    batch(1, [(2, 21), (3, 30)])
+    assert rows(latest_updates(spark, path, schema, ["k"])) == [(1, 10), (2, 21), (3, 30)]
+    assert not merge_updates(spark, path, schema, ["k"], 2)
+    for number in range(2, 6):
+        batch(number, [(number, number), (1, 100 + number)])
+        merge_updates(spark, path, schema, ["k"], 2)
+    assert rows(latest_updates(spark, path, schema, ["k"])) == [(1, 105), (2, 2), (3, 3), (4, 4), (5, 5)]
+    assert folders(spark, path, "upto") == [3, 5] and folders(spark, path, "batch_id") == [4, 5]
+
+
+def test_late_events_are_left_out(spark, tables):
+    from tallywork.plans.streams import st_daily_spend, st_late_events
+
+    all_of_them = st_daily_spend(tables).agg(F.sum("total_cost")).first()[0]
+    in_time = st_late_events(tables).agg(F.sum("total_cost")).first()[0]
+    assert 0.5 * all_of_them < in_time < 0.98 * all_of_them
