@@ -10,15 +10,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm.shared import components, table, written
-from tallywork.llm.vectors import groups, matrix, usable
+from tallywork.llm.shared import components, table, whole_groups, written
+from tallywork.llm.vectors import matrix, usable
 
 PIVOTS = 256  # reference vectors
 SAMPLE = 1_024  # vectors, drawn by hash, from which pivots are chosen (fixed bound)
 APART = 0.8  # greatest cosine of two pivots
 NEAREST = 8  # pivots that describe a vector
 SHARED = 3  # of which two vectors must share so many to be compared
+RANKS = 10  # greatest sum of the ranks (nearest 0) of the pivots that name a list
 LIST_ROWS = 2_048  # rows of an inverted list that one task compares at a time
+SHORT = 64  # lists up to this length are compared many at once
+PAIRS = 50_000  # pairs of short lists whose vectors are multiplied at a time
+
+# The ranks of pivots that name the lists of a vector. Pivots that are both far down the order
+# change places soonest, so they name no list together.
+RANKED = np.array([c for c in combinations(range(NEAREST), SHARED) if sum(c) <= RANKS])
 
 
 def _pivots(sample: list[list[float]], size: int) -> np.ndarray:
@@ -39,7 +46,7 @@ def _pivots(sample: list[list[float]], size: int) -> np.ndarray:
 
 
 def described(classes: DataFrame, sample: list[list[float]]) -> DataFrame:
-    """``unit`` (packed doubles), ``size`` and ``near``: the nearest pivots, by number."""
+    """``unit`` (packed doubles), ``size``, ``near`` (the nearest pivots, nearest first) and ``lists``."""
     shared = classes.sparkSession.sparkContext.broadcast(sample)  # at most SAMPLE vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,17 +60,27 @@ def described(classes: DataFrame, sample: list[list[float]]) -> DataFrame:
                 if len(x) not in known:
                     known[len(x)] = _pivots(shared.value, len(x))
                 angle = known[len(x)] @ x
-                near.append(np.sort(np.argsort(-angle, kind="stable")[:NEAREST]).astype(np.int32))
+                near.append(np.argsort(-angle, kind="stable")[:NEAREST].astype(np.int32))
                 units.append(x.tobytes()), sizes.append(len(x))
             columns = [batch.column(n) for n in ("label", "node", "members")]
-            columns += [pa.array(sizes, pa.int32()), pa.array(units, pa.binary()), pa.array(near, pa.list_(pa.int32()))]
-            names = ["label", "node", "members", "size", "unit", "near"]
+            lists = list(list_numbers(np.array(near))) if near else []
+            columns += [
+                pa.array(sizes, pa.int32()), pa.array(units, pa.binary()),
+                pa.array(near, pa.list_(pa.int32())), pa.array(lists, pa.list_(pa.int64())),
+            ]
+            names = ["label", "node", "members", "size", "unit", "near", "lists"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "label long, node long, members long, size int, unit binary, near array<int>"
+    schema = "label long, node long, members long, size int, unit binary, near array<int>, lists array<long>"
     return classes.mapInArrow(run, schema)
 
 
+def list_numbers(near: np.ndarray) -> np.ndarray:
+    """Numbers of the inverted lists of permutations: one for each set of pivots by ``RANKED``."""
+    sets = np.sort(near[:, RANKED], axis=2).astype(np.int64)
+    return sets[:, :, 0] << 40 | sets[:, :, 1] << 20 | sets[:, :, 2]
+
+
 def _links(rows: DataFrame, least: float) -> DataFrame:
     """Compare the members of each part of an inverted list.
 
@@ -72,53 +89,122 @@ def _links(rows: DataFrame, least: float) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches, ["label", "size", "list", "i", "j"]):
-            found = _compared(rows, least)
-            if found is not None:
-                yield found
+        for rows in whole_groups(batches, tuple(keys), 10_000):
+            columns = [rows[k].to_numpy() for k in keys]
+            new = np.ones(len(rows), bool)
+            new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            low = np.flatnonzero(new)
+            high = np.append(low[1:], len(rows))
+            short = (high - low <= SHORT) & (columns[3][low] == columns[4][low])
+            for size in np.unique(columns[1][low[short]]):
+                chosen = short & (columns[1][low] == size)
+                yield from _compared_short(rows, low[chosen], high[chosen], least)
+            for first, behind in zip(low[~short], high[~short], strict=True):
+                found = _compared(rows.slice(first, behind - first), least)
+                if found is not None:
+                    yield found
 
     keys = ["label", "size", "list", "i", "j"]
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long, links long")
 
 
+def _batch(node: np.ndarray, links: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Link counts of rows, and links between the rows ``a`` and ``b``."""
+    counted = np.flatnonzero(links)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([node[counted], node[a]]), pa.int64()),
+            pa.array([*[None] * len(counted), *node[b].tolist()], pa.int64()),
+            pa.array([*links[counted].tolist(), *[None] * len(a)], pa.int64()),
+        ],
+        names=["a", "b", "links"],
+    )
+
+
+def _near(rows: pa.Table) -> np.ndarray:
+    return rows["near"].combine_chunks().flatten().to_numpy().reshape(len(rows), NEAREST)
+
+
+def _compared_short(rows: pa.Table, low: np.ndarray, high: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
+    """Compare all pairs within each of many short lists of vectors of one length.
+
+    Every pair counts in one list only: that of the least number that both are in.
+    """
+    pairs = []
+    for length in np.unique(high - low):
+        first, second = np.triu_indices(length, 1)
+        at = low[high - low == length][:, None]
+        pairs.append(np.stack([(at + first).ravel(), (at + second).ravel()]))
+    taken = np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])
+    place = np.zeros(len(rows), np.int64)
+    place[taken] = np.arange(len(taken))
+    left, right = place[np.concatenate(pairs, axis=1)]
+    rows = rows.take(pa.array(taken))
+    x = matrix(rows["unit"])
+    linked = np.zeros(len(left), bool)
+    for start in range(0, len(left), PAIRS):
+        part = slice(start, start + PAIRS)
+        linked[part] = np.einsum("ij,ij->i", x[left[part]], x[right[part]]) >= least
+    left, right = left[linked], right[linked]
+    numbers, own = list_numbers(_near(rows)), rows["list"].to_numpy()
+    here = np.zeros(len(left), bool)
+    for start in range(0, len(left), PAIRS):
+        part = slice(start, start + PAIRS)
+        one, other = numbers[left[part]], numbers[right[part]]
+        both = (one[:, :, None] == other[:, None, :]).any(axis=2)
+        here[part] = np.where(both, one, np.iinfo(np.int64).max).min(axis=1) == own[left[part]]
+    left, right = left[here], right[here]
+    if len(left):
+        members = rows["members"].to_numpy()
+        links = np.zeros(len(rows), np.int64)
+        np.add.at(links, left, members[right])
+        np.add.at(links, right, members[left])
+        yield _batch(rows["node"].to_numpy(), links, left, right)
+
+
 def _compared(rows: pa.Table, least: float) -> pa.RecordBatch | None:
+    """Compare two parts of a long list, or one with itself."""
     if len(rows) < 2:
         return None
     number, i, j = (rows[c][0].as_py() for c in ("list", "i", "j"))
     node, members, part = (rows[c].to_numpy() for c in ("node", "members", "part"))
     left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-    # Every pair counts in one list only: that of the smallest pivots that it shares. So in
-    # this list two vectors must have no other pivot in common below its greatest.
-    own = np.array([number >> 16 & 255, number >> 8 & 255, number & 255])
-    near = np.array(rows["near"].to_pylist())
-    early = (near < own.max()) & ~np.isin(near, own)
-    bits = np.zeros((len(rows), PIVOTS), np.uint8)
-    at, column = np.nonzero(early)
-    bits[at, near[at, column]] = 1
-    kinds, kind = np.unique(np.packbits(bits, axis=1), axis=0, return_inverse=True)
-    kind = kind.reshape(-1)
-    apart = ~(kinds[:, None, :] & kinds[None, :, :]).any(2)
-    if not apart.any():
-        return None
     x = matrix(rows["unit"])
-    mask = (x[left] @ x[right].T >= least) & apart[kind[left]][:, kind[right]]
+    mask = x[left] @ x[right].T >= least
     mask &= (node[left][:, None] < node[right][None, :]) if i == j else True
+    if not mask.any():
+        return None
+    mask &= ~_met_earlier(list_numbers(_near(rows)), number, left, right, mask)
     if not mask.any():
         return None
     links = np.zeros(len(rows), np.int64)
     links[left] += mask @ members[right]
     links[right] += members[left] @ mask
     a, b = _connecting(mask)
-    counted = np.flatnonzero(links)
-    none = [None] * len(counted)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate([node[counted], node[left[a]]]), pa.int64()),
-            pa.array([*none, *node[right[b]].tolist()], pa.int64()),
-            pa.array([*links[counted].tolist(), *[None] * len(a)], pa.int64()),
-        ],
-        names=["a", "b", "links"],
-    )
+    return _batch(node, links, left[a], right[b])
+
+
+def _met_earlier(numbers: np.ndarray, own: int, left: np.ndarray, right: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Pairs that are also together in a list of a lower number, where they count.
+
+    Only lists of linked rows matter, each as a column of ones and zeros; their product counts
+    the lists that two rows share.
+    """
+    linked = np.zeros(len(numbers), bool)
+    linked[left[mask.any(axis=1)]] = True
+    linked[right[mask.any(axis=0)]] = True
+    early = (numbers < own) & linked[:, None]
+    names, times = np.unique(numbers[early], return_counts=True)
+    names = names[times > 1]
+    met = np.zeros(mask.shape, bool)
+    for start in range(0, len(names), SHORT * 16):
+        chosen = names[start : start + SHORT * 16]
+        at = np.minimum(np.searchsorted(chosen, numbers), len(chosen) - 1)
+        row, column = np.nonzero(early & (chosen[at] == numbers))
+        held = np.zeros((len(numbers), len(chosen)), np.float32)
+        held[row, at[row, column]] = 1
+        met |= held[left] @ held[right].T > 0
+    return met
 
 
 def _connecting(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,14 +236,15 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     (smallest id reachable) and ``kept`` (id = component id).
 
     Equal vectors of a label are one class. A class is described by its ``NEAREST`` nearest
-    pivots; every set of ``SHARED`` of them is the number of an inverted list. Two vectors meet
-    in the lists of all sets that they share, so in one at least if their shared-pivot count
-    reaches ``SHARED``, and are compared in exactly one, by cosines of the original vectors in
-    double precision. Long lists are compared in parts. Lists of one vector are left out ahead
-    of the shuffle of vectors.
-
-    A pair is missed only if the permutations have fewer than ``SHARED`` of the nearest pivots
-    in common; README has the measured recall. Vectors that are null, zero or not finite, and
+    pivots in their order; every set of ``SHARED`` of them whose ranks sum to at most ``RANKS`` is
+    the number of an inverted list. Two vectors meet in the lists of all sets that they share,
+    so only if their shared-pivot count reaches ``SHARED``, are compared by cosines of the
+    original vectors in double precision, and counted in one list. Long lists are compared in
+    parts, short ones many at once. Lists of one vector are left out ahead of the shuffle of
+    vectors.
+
+    A pair is missed only if the permutations have no such set in common; README has the
+    measured recall. Vectors that are null, zero or not finite, and
     rows with a null id or label, link with nothing and are kept. Vectors of unlike length
     never link. Rows that share an id are one vector: a component with any of them has all.
     """
@@ -170,10 +257,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     drawn = classes.select("embedding").orderBy(F.xxhash64("embedding"), "node").limit(SAMPLE)
     index = written(described(classes, [r[0] for r in drawn.collect()]), "index")
 
-    sets = ", ".join(
-        f"near[{a}] * 65536 + near[{b}] * 256 + near[{c}]" for a, b, c in combinations(range(NEAREST), SHARED)
-    )
-    postings = index.select("label", "size", "node", F.explode(F.expr(f"array({sets})")).alias("list"))
+    postings = index.select("label", "size", "node", F.explode("lists").alias("list"))
     lists = (
         postings.groupBy("label", "size", "list")
         .agg(F.count("*").alias("n"))
