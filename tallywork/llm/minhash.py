@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tallywork.llm.shared import components, table, with_texts, written
+from tallywork.operators.ranking import with_row_numbers
 
 WORDS = 5  # words of a shingle
 PERMUTATIONS = 192  # each gives a minimum and a maximum
@@ -300,13 +301,83 @@ def _alike(percent: int) -> str:
     )
 
 
+def with_own_ids(docs: DataFrame, own: str, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame | None, bool]:
+    """The documents with a column ``own`` (no name of theirs starts like it): an id for every
+    (id, text), the least text keeping the id.
+
+    Further texts of an id are numbered behind the greatest id of all, in a fixed order. Also
+    returned: which ids these stand for (``own``, ``id``), or None if every id has one text, and
+    whether any id has several rows. Ids are known apart by hashes of their texts.
+    """
+    known = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("hash"))
+    ids = known.where("id IS NOT NULL").groupBy("id").agg(
+        F.count("*").alias("rows"), F.min("hash").alias("first"), F.max("hash").alias("last")
+    )
+    several = written(ids.where("rows > 1").select("id", "first", F.expr("first <> last").alias("unlike")), "repeated")
+    rows, unlike = several.agg(F.count("*"), F.count_if("unlike")).first()
+    plain = docs.withColumn(own, F.col(key).cast("long"))
+    if not unlike:
+        return plain, None, rows > 0
+    top = known.agg(F.max("id")).first()[0]
+    further = known.distinct().join(several.where("unlike"), "id").where("hash <> first").select("id", "hash")
+    numbered = with_row_numbers(further, ["id", "hash"], "number").select(
+        F.col("id").alias(f"{own}_id"), F.col("hash").alias(f"{own}_hash"), (F.lit(top) + F.col("number")).alias(f"{own}_new")
+    )
+    same = (F.col(own) == F.col(f"{own}_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(f"{own}_hash"))
+    named = plain.join(numbered, same, "left").withColumn(own, F.coalesce(f"{own}_new", own)).select(*docs.columns, own)
+    return named, numbered.select(F.col(f"{own}_new").alias("own"), F.col(f"{own}_id").alias("id")), True
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 75, words: int = WORDS
 ) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent``.
 
     Returns per input row ``<key>``, ``n_shingles``, ``component_id`` (smallest id reachable)
-    and ``kept`` (id = component id).
+    and ``kept`` (id = component id). Texts without words (null, empty, blank) have an empty set
+    and link with nothing. Rows with a null id link with nothing, have a null component and are
+    kept. Rows that share an id are one document: it has the links of all its texts, and all its
+    rows one component. Ids lie well below the greatest long. Other columns are not read.
+    """
+    needed = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    named, further, _ = with_own_ids(needed, "own", "text", "key")
+    if further is None:
+        return text_duplicates(docs, text, key, percent, words)
+    found = written(text_duplicates(named, "text", "own", percent, words).drop("kept"), "texts")
+    back = found.join(further.withColumnsRenamed({"own": "_own", "id": "_id"}), F.col("own") == F.col("_own"), "left")
+    back = back.select(F.coalesce("_id", "own").alias(key), F.col("_own").isNotNull().alias("more"), "n_shingles", "component_id")
+    # The components of an id's texts belong together; the one of its own number is among them.
+    own = back.where("NOT more").select(F.col(key).alias("_key"), F.col("component_id").alias("a")).distinct()
+    links = back.where("more").join(own, F.col(key) == F.col("_key")).select("a", F.col("component_id").alias("b"))
+    joined = components(links.where("a <> b").distinct())
+    return (
+        back.join(joined, F.col("component_id") == F.col("node"), "left")
+        .select(key, "n_shingles", F.coalesce("component", "component_id").alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
+    )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each group of near copies, with all its columns; rows with a null id all stay.
+
+    Texts count and not ids: of an id with unlike texts each is kept or dropped for itself, and
+    of a group the row of the smallest id (of its least text by hash) stays.
+    """
+    own = "_own"
+    while any(c.startswith(own) for c in docs.columns):
+        own = f"_{own}"
+    named, _, repeated = with_own_ids(docs, own, text, key)
+    kept = text_duplicates(named, text, own).where(f"kept AND {own} IS NOT NULL").select(own).distinct()
+    stay = named.where(F.col(key).isNotNull()).join(kept, own, "left_semi")
+    if repeated:
+        stay = stay.dropDuplicates([own])
+    return stay.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+
+
+def text_duplicates(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 75, words: int = WORDS
+) -> DataFrame:
+    """``near_duplicates`` of documents of which no id has unlike texts.
 
     1. Equal sets become one class before anything else, so copies cost one row each.
     2. Classes are banded. In every band bucket a class meets the bucket's first class and its
@@ -319,9 +390,6 @@ def near_duplicates(
     between components does. A pair at the threshold shares no bucket, or falls below the
     sketch bound, with a chance of a few in a million.
 
-    Texts without words (null, empty, blank) have an empty set and link with nothing. Rows
-    with a null id link with nothing, have a null component and are kept. Rows that share an
-    id are one document: it has the links of all its texts. Other columns are not read.
     """
     signed = written(signatures(docs, text, key, words), "signatures")
     classes = written(
@@ -422,7 +490,6 @@ def near_duplicates(
 
     class_of = classes.select("f1", "f2", F.col("n").alias("_n"), "node").join(final, "node", "left")
     class_of = class_of.select("f1", "f2", "_n", F.coalesce("component", "node").alias("_component"))
-    # Texts of one id may be of several classes; the id then belongs to all of them.
     answered = signed.select("node", "n", "f1", "f2").alias("s").join(
         class_of.alias("c"), F.expr("s.f1 = c.f1 AND s.f2 = c.f2 AND s.n = c._n"), "left"
     )

@@ -110,6 +110,38 @@ def test_odd_documents(spark):
     assert by_id[10][0][1] == 10 and by_id[11][0][1] == 11  # only A-Z is lower-cased
 
 
+A, B = "a text of some ten words that all are its own", "quite another text and it has its very own ten words"
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    # The id 5 is a copy of 3, and has a text of its own as well.
+    docs = [(3, A), (5, A), (5, B)]
+    found = answer(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert found == brute_documents(docs)
+    assert [f[2:] for f in found] == [(3, True), (3, False), (3, False)]
+
+
+def test_ids_with_several_texts_equal_brute_force(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(200)}" for _ in range(30)) for _ in range(25)]
+    texts += [t.replace("w1", "v1", 1) for t in texts[:10]] + ["", None, " "]
+    docs = [(rng.randrange(40), rng.choice(texts)) for _ in range(90)] + [(7, texts[0])] * 3
+    found = answer(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert found == brute_documents(docs)
+
+
+def test_one_of_each_group_stays_and_no_unlike_text_goes(spark):
+    data = [(3, A, "x"), (5, A, "y"), (5, B, "z"), (5, B, "z"), (None, A, "n"), (8, None, "e"), (8, "", "e"), (9, B + " more", "w")]
+    df = spark.createDataFrame(data, "doc_id long, text string, _own string")
+    found = minhash.one_of_each(df)
+    assert found.columns == df.columns
+    kept = sorted((tuple(r) for r in found.collect()), key=str)
+    # An empty text is like no other; null counts as empty, and the two rows are one.
+    assert [k[:2] for k in kept if k[0] != 8] == [(3, A), (5, B), (None, A)]
+    assert len([k for k in kept if k[0] == 8]) == 1 and len(kept) == 4
+    assert minhash.one_of_each(df.limit(0)).collect() == []
+
+
 def test_no_documents(spark):
     assert answer(minhash.near_duplicates(spark.createDataFrame([], DOCS))) == []
 

@@ -434,6 +434,17 @@ def test_pipeline_on_odd_rows_and_none(spark, tmp_path):
     assert corpus_pipeline.run(spark, empty).collect() == []
 
 
+def test_stages_on_clashing_names(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    clashing = ["_score", "mix_slot", "mix_block", "mix_place", "kept_mix_slot", "_own", "node", "band", "n"]
+    wide = docs.withColumns({c: F.lit("x") for c in clashing})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, wide, SMALL)
+        assert found.columns == wide.columns
+        plain = sorted(r.doc_id for r in stage(spark, docs, SMALL).collect())
+        assert sorted(r.doc_id for r in found.where("mix_slot = 'x'").collect()) == plain
+
+
 def test_registered_names():
     names = entry_module.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
