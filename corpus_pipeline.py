@@ -9,6 +9,13 @@ from tallywork.llm import bpe, minhash, mixing, quality, toxicity
 from tallywork.llm.shared import labelled_sample, table, written
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     labels = table(spark, sf_dir, "labels")
@@ -17,8 +24,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     )
     if not sample:  # nothing to learn from: nothing is rejected
         return docs
-    scored = quality.with_quality(docs, quality.train_quality(sample, share), "_score")
-    return scored.where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    score = _unused(docs, "_score")
+    scored = quality.with_quality(docs, quality.train_quality(sample, share), score)
+    return scored.where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def civil_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,18 +37,17 @@ def civil_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
     if not sample:
         return docs
-    scored = toxicity.with_toxicity(docs, toxicity.train_toxicity(sample, share), "_score")
-    return scored.where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+    score = _unused(docs, "_score")
+    scored = toxicity.with_toxicity(docs, toxicity.train_toxicity(sample, share), score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; documents without an id stay as they are."""
-    kept = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    # Rows that share an id are one document: of these one stays, chosen ahead of the shuffle.
-    single = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return single.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(
-        docs.where("doc_id IS NULL")
-    )
+    """One document of each group of near copies; documents without an id stay as they are.
+
+    Texts count, not ids: a text that is like no other stays, whatever its id has besides.
+    """
+    return minhash.one_of_each(docs)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +56,10 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     The mixture is an order: no document is left out for being of a large source. The layout
     saves the next stages work only; the order itself is told by ``encoded_documents``.
     """
-    placed = mixing.mixed(docs, mixing.WEIGHTS, mixing.REST_WEIGHT)
-    return mixing.in_order(placed).select(*docs.columns)
+    # The operator's own columns are called mix_...; such columns of the documents step aside.
+    aside = {c: _unused(docs, f"kept_{c}") for c in docs.columns if c.startswith("mix_")}
+    placed = mixing.mixed(docs.withColumnsRenamed(aside), mixing.WEIGHTS, mixing.REST_WEIGHT)
+    return mixing.in_order(placed).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
