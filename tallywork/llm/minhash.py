@@ -360,8 +360,8 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row of each group of near copies, with all its columns; rows with a null id all stay.
 
-    Texts count and not ids: of an id with unlike texts each is kept or dropped for itself, and
-    of a group the row of the smallest id (of its least text by hash) stays.
+    Texts count and not ids: of an id with unlike texts each is kept or dropped for itself. Of a
+    group the row of the smallest id stays; further texts of an id come behind all ids.
     """
     own = "_own"
     while any(c.startswith(own) for c in docs.columns):

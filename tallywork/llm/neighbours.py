@@ -20,6 +20,8 @@ BLOCK = 2_048  # vectors that one task compares with one another, or holds for r
 ROUNDS = 3  # of NN-descent, unless few neighbours change before
 FEW = 0.02  # share of changed neighbours that ends it
 BEAM = 256  # nodes that a query keeps
+MARGIN = 1.5  # lengths beyond so many times the usual count as that long in the graph
+LONGEST = 64  # vectors beyond that length, of each size, at which every search starts as well
 GRAPH = "node long, other long, score float, fresh boolean"
 
 
@@ -44,30 +46,41 @@ def _best(node: np.ndarray, other: np.ndarray, score: np.ndarray, fresh: np.ndar
 
 
 def _prepared(classes: DataFrame) -> DataFrame:
-    """``node``, ``size``, ``vector`` (packed doubles) and ``unit``: half-precision coordinates
-    on a sphere, where the nearest by angle are the nearest by inner product.
-
-    One more coordinate fills every vector up to the greatest length; units serve to build the
-    graph only.
+    """``node``, ``size``, ``vector`` (packed doubles), ``length`` and ``unit``: half-precision
+    coordinates on a sphere, where the nearest by angle are the nearest by inner product.
+
+    One more coordinate fills every vector up to a common length; units serve to build the graph
+    only. That length is the greatest one, but no more than ``MARGIN`` times what nine in ten
+    stay below, so that a few very long vectors cannot flatten the rest; those count as that long
+    in the graph, and ``length``, in parts of it, tells them. Lengths are worked out in parts of a
+    vector's largest component, so that no square overflows.
     """
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    most = classes.agg(F.max(norm)).first()[0]
+    absolute = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    largest = classes.select("*", F.array_max(absolute).alias("largest"))
+    parts = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + F.pow(x.cast("double") / F.col("largest"), F.lit(2.0)))
+    norm = F.col("largest") * F.sqrt(parts)
+    most, usual = largest.agg(F.max(norm), F.percentile_approx(norm, 0.9)).first()
+    most = min(most, MARGIN * usual)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors, units, sizes = [], [], []
+            vectors, units, sizes, lengths = [], [], [], []
             for v in batch.column(1):
                 x = np.array(v.as_py(), float)
-                scaled = x / most if most else x
+                top = np.abs(x).max()
+                within = np.linalg.norm(x / top)
+                length = float(top / most * within)
+                scaled = x / top * min(top / most, 1 / within)
                 fill = np.sqrt(max(0.0, 1 - scaled @ scaled))
-                vectors.append(x.tobytes()), sizes.append(len(x))
+                vectors.append(x.tobytes()), sizes.append(len(x)), lengths.append(length)
                 units.append(np.append(scaled, fill).astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(vectors, pa.binary()), pa.array(units, pa.binary())],
-                names=["node", "size", "vector", "unit"],
-            )
+            arrays = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(lengths, pa.float64())]
+            arrays += [pa.array(vectors, pa.binary()), pa.array(units, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "size", "length", "vector", "unit"])
 
-    return classes.select("node", "embedding").mapInArrow(run, "node long, size int, vector binary, unit binary")
+    return classes.select("node", "embedding").mapInArrow(
+        run, "node long, size int, length double, vector binary, unit binary"
+    )
 
 
 def _coded(nodes: DataFrame, seed: int, planes: int) -> DataFrame:
@@ -272,7 +285,7 @@ def _wanted(met: DataFrame, targets: DataFrame, blocks: int) -> DataFrame:
 def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, count: int) -> DataFrame:
     """Best nodes of each query (``query``, ``ids``, ``scores``) by best-first search.
 
-    ``queries`` has ``query``, ``start`` (a node) and ``target`` (packed doubles). Every step
+    ``queries`` has ``query``, ``size``, ``start`` (a node) and ``target`` (packed doubles). Every step
     expands all nodes of a beam that are not expanded yet, for all queries at once, until no
     beam has any; that takes few steps, each of some shuffles. Nodes are met by joins with the
     graph and scored by blocks.
@@ -280,7 +293,16 @@ def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, count:
     blocks = count // BLOCK + 1
     edges = written(_both_ways(graph).groupBy("node").agg(F.collect_set("other").alias("others")), "edges")
     targets = queries.select("query", "target")
-    first = queries.select("query", F.col("start").alias("other"))
+    # Very long vectors are near to many queries that the graph does not lead to them.
+    longest = Window.partitionBy("size").orderBy(F.desc("length"), "node")
+    seeds = (
+        nodes.where("length > 1").select("size", "length", "node")
+        .withColumn("place", F.row_number().over(longest)).where(F.col("place") <= LONGEST)
+        .select("size", F.col("node").alias("other"))
+    )
+    first = queries.select("query", F.col("start").alias("other")).unionByName(
+        queries.select("query", "size").join(seeds, "size").select("query", "other")
+    )
     fresh, all_done = F.expr("transform(ids, x -> false)"), F.expr("transform(ids, x -> true)")
     beams = written(_beams(_scored(_wanted(first, targets, blocks), nodes, blocks).withColumn("done", fresh)), "beams")
     while True:
@@ -300,6 +322,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     their ``k + 1`` smallest ids, more than which no query can return; so they cannot crowd a
     graph, and ties among them are exact.
 
+    Vectors may differ in length by any factor, and components be as large as doubles allow.
     Vectors that are null, zero or not finite and rows with a null id take no part. Vectors
     meet only vectors of their length. Of an id with several vectors the first by node asks.
     An empty table gives an empty result.
@@ -323,7 +346,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     asking = placed.where("asks").groupBy(F.col("vec_id").alias("query")).agg(F.min("node").alias("node"))
     # Queries with equal vectors are searched for once.
     searched = nodes.join(asking.select("node").distinct(), "node", "left_semi").select(
-        F.col("node").alias("query"), F.col("node").alias("start"), F.col("vector").alias("target")
+        F.col("node").alias("query"), "size", F.col("node").alias("start"), F.col("vector").alias("target")
     )
     beams = greedy_search(graph, nodes, written(searched, "queries"), count)
     best = beams.select(

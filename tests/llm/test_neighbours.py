@@ -1,6 +1,7 @@
 """Approximate nearest neighbours against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallywork.llm import neighbours
@@ -73,3 +74,24 @@ def test_several_rounds_and_blocks(spark, monkeypatch):
     expected = {(q, i) for q, _, i in brute(data, lambda i: i % 20 == 0)}
     found = {(q, i) for q, _, i in answer(neighbours.nearest(spark.createDataFrame(data, VECTORS), F.col("vec_id") % 20 == 0))}
     assert len(found & expected) >= 0.9 * len(expected)
+
+
+def recall(spark, data, schema):
+    expected = {(q, i) for q, _, i in brute(data, lambda i: i % 20 == 0)}
+    found = {(q, i) for q, _, i in answer(neighbours.nearest(spark.createDataFrame(data, schema), F.col("vec_id") % 20 == 0))}
+    return len(found & expected) / len(expected)
+
+
+@pytest.mark.parametrize("odd", ["longer", "overflow", "some"])
+def test_long_vectors_do_not_flatten_the_rest(spark, odd):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 32))
+    vectors = [centres[n % 40] + 0.4 * rng.normal(size=32) for n in range(4_000)]
+    if odd == "longer":
+        vectors[7] = vectors[7] * 10_000
+    if odd == "overflow":  # its norm squared is beyond any double
+        vectors[7] = np.where(np.arange(32) % 2, 1e200, -1e200)
+    if odd == "some":
+        vectors[::40] = [v * 1_000 for v in vectors[::40]]
+    data = [(i, [float(c) for c in v]) for i, v in enumerate(vectors)]
+    assert recall(spark, data, "vec_id long, embedding array<double>") >= 0.95
