@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +30,6 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"  # terms of lower-cased text
-# Words that OP6_SQL picks its candidate lines by; licence_lines does not read them.
-ANCHORS = ["licence", "licences", "licensed", "license", "licenses", "permission", "redistribution"]
 LEAST = 0.6  # cosine of a line that counts as a notice
 FILE_SHARE = 0.25  # of a text's characters in notices, from which it is a licence file
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.][^/]*)?$"
@@ -123,12 +121,12 @@ def directory(path: Column) -> Column:
     return F.coalesce(F.regexp_extract(path, r"\A(?s:(.*))/", 1), F.lit(""))
 
 
-def licences(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+def licences(files: DataFrame, path: str = "path", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """Licence of every file: its own notice's, or that of its nearest directory with one.
 
     Returns every row's columns ``path``, ``licence``, ``cosine``, ``basis`` (``file`` or
-    ``directory``, else null) and ``licence_directory``. All lines of whole texts are looked
-    at. Of several notices the one with the greatest cosine counts, then the first name.
+    ``directory``, else null), ``licence_directory`` and those of ``carry``, whose names must be
+    others. All lines of whole texts are looked at. Of several notices the one with the greatest cosine counts, then the first name.
 
     A file is a licence file if its name says so, or if notices fill ``FILE_SHARE`` of its
     text. It gives its directory a licence, for all files below that have none of their own
@@ -138,14 +136,17 @@ def licences(files: DataFrame, path: str = "path", text: str = "text") -> DataFr
     Null or empty texts have no notice but inherit. Null paths inherit nothing. Rows that share
     a path are one file. Other columns are not read.
     """
-    named = files.select(F.col(path).alias("path"), F.col(text).alias("text"))
+    named = files.select(F.col(path).alias("path"), F.col(text).alias("text"), F.struct(F.lit(0), *carry).alias("_carried"))
     notices = licence_lines(named, "text")
     of_line = named.where("path IS NOT NULL AND text IS NOT NULL").select(
         "path", F.length("text").alias("size"), F.explode(F.split("text", "\n", -1)).alias("line")
     )
-    # Notices are few and repeat: their distinct lines meet the lines of the files.
+    # Notices are few and repeat: their distinct lines meet the lines of the files. Their hash is
+    # one more key, so that a grouped side is shuffled for this join too and a notice that very
+    # many files have can be split.
+    line_mark = F.xxhash64("line")
     own = (
-        of_line.join(notices, "line")
+        of_line.withColumn("_mark", line_mark).join(notices.withColumn("_mark", line_mark), ["line", "_mark"])
         .groupBy("path")
         .agg(
             F.max("cosine").alias("cosine"),
@@ -173,7 +174,7 @@ def licences(files: DataFrame, path: str = "path", text: str = "text") -> DataFr
         .groupBy("folder")
         .agg(F.max_by(F.struct("licence", "cosine", "licence_directory"), "depth").alias("given"))
     )
-    found = named.select("path", directory(F.col("path")).alias("folder")).join(
+    found = named.select("path", directory(F.col("path")).alias("folder"), "_carried").join(
         own.select("path", F.col("licence").alias("own"), F.col("cosine").alias("own_cosine")), "path", "left"
     )
     # The hash is one more key, so that the side grouped by folder is shuffled for this join too
@@ -187,20 +188,27 @@ def licences(files: DataFrame, path: str = "path", text: str = "text") -> DataFr
         F.when(given, F.col("given.cosine")).otherwise(F.col("own_cosine")).alias("cosine"),
         F.when(F.col("own").isNotNull(), "file").when(given, "directory").alias("basis"),
         F.when(given, F.col("given.licence_directory")).alias("licence_directory"),
+        *[F.col(f"_carried.`{c}`").alias(c) for c in carry],
     )
 
 
-# Documents have no paths of their own; source, language and id place them in directories.
+# Documents have no paths of their own; source, language and id place them in directories, and
+# one without an id nowhere.
 DOCUMENT_PATH = (
-    "concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), "
-    "cast(doc_id div 64 AS string), concat(cast(doc_id AS string), '.txt'))"
+    "if(doc_id IS NULL, NULL, concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), "
+    "cast(doc_id div 64 AS string), concat(cast(doc_id AS string), '.txt')))"
 )
 
 
 def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
     """Licences of all documents, each placed at source / language / shard / id."""
-    docs = table(spark, folder, "documents").select(F.expr(DOCUMENT_PATH).alias("path"), "text")
-    return licences(docs).withColumn("doc_id", F.regexp_extract("path", r"(\d+)[.]txt\z", 1).cast("long"))
+    return document_licences(table(spark, folder, "documents"))
+
+
+def document_licences(docs: DataFrame) -> DataFrame:
+    """Licences of documents, each placed by its source, language and id; without an id none."""
+    placed = docs.select(F.expr(DOCUMENT_PATH).alias("path"), "text", F.col("doc_id").cast("long").alias("doc_id"))
+    return licences(placed, carry=["doc_id"])
 
 
 _ROWS = ", ".join(f"('{name}', '{line}')" for name, line in TEMPLATES)
@@ -235,7 +243,7 @@ lt AS (
   GROUP BY ALL
 ),
 candidates AS (
-  SELECT DISTINCT line FROM lt WHERE term IN {tuple(ANCHORS)}
+  SELECT DISTINCT line FROM lt WHERE term IN (FROM vocabulary)
 ),
 lw AS (
   SELECT line, term, tf * coalesce(idf, 1) AS w, idf IS NOT NULL AS known

@@ -382,6 +382,32 @@ def test_mixture_is_whole_and_in_proportion(spark):
             mixing.frame({**wrong, **({"b": 1} if wrong else {})})
 
 
+def test_document_ids_of_any_kind(spark):
+    notice = "Released under the MIT License."
+    data = [(None, notice, "en", "s", 1), (-5, notice, "en", "s", 1), (-5, "prose", "en", "s", 1), (70, "prose", None, None, 1)]
+    data.append((71, f"see\nAvailable under CC BY-NC 4.0.", None, None, 1))  # a notice without the word licence
+    found = licences.document_licences(spark.createDataFrame(data, DOCS))
+    rows = sorted((r.doc_id is None, r.doc_id or 0, r.licence or "", r.basis or "") for r in found.collect())
+    assert rows == [
+        (False, -5, "MIT", "file"), (False, -5, "MIT", "file"), (False, 70, "CC-BY-NC-4.0", "directory"),
+        (False, 71, "CC-BY-NC-4.0", "file"), (True, 0, "", ""),
+    ]
+
+
+def test_licence_sql_on_notices_of_any_words(spark, tmp_path):
+    folder = str(tmp_path / "notices")
+    texts = ["Available under CC BY-NC 4.0.", "CC BY-NC 4.0", "Creative Commons Attribution 4.0 International", "plain prose"]
+    docs = [(i, f"some line {i}\n{t}\nmore", "en", f"s{i % 2}", 9) for i, t in enumerate(texts * 3)]
+    spark.createDataFrame(docs, DOCS).coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    import duckdb
+
+    sql = duckdb.connect()
+    sql.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    found = spark_rows(QUERIES["op6_licences"](spark, folder))
+    assert difference(found, sql_rows(sql, ORACLES["op6_licences"])) is None
+    assert sum(found[1].values()) == 12
+
+
 # --- pipeline ------------------------------------------------------------------------------
 
 
