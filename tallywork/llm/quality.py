@@ -17,7 +17,7 @@ SHAPES = 128  # buckets of character-shape sequences
 FACTS = 7
 WIDTH, GATE = 24, 12  # of a passage's representation and of the attention
 SAMPLE_PER_CLASS = (3_000, 5_000)  # documents of low and high quality to learn from, at most
-SAMPLE_CHARS = 6_000  # characters of each that are learnt from; scores read whole texts
+SAMPLE_CHARS = (12_000_000, 18_000_000)  # of their whole texts together
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.01, 1e-4
 THRESHOLD = 0.3
 

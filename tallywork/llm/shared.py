@@ -154,18 +154,19 @@ def labelled_sample(
     folds: int,
     fold: int,
     per_class: tuple[int, int],
-    chars: int,
+    chars: tuple[int, int],
     text: str = "text",
     key: str = "doc_id",
 ) -> tuple[list[tuple[str, int]], float | None]:
     """Labelled texts to learn from, in the driver, and the share of label 1.
 
     Rows of the held-out fold never get here. At most ``per_class`` documents of label 0 and 1
-    are drawn by the hash of their id, and ``chars`` characters of each are taken, so the
-    sample has a size that does not grow with the corpus. The share is over all rows that may
-    be learnt from. Of several labels for a document the greatest counts. Rows that share an id
-    are one document, learnt from one of its texts, which is drawn by hash before anything is
-    gathered; so an id with very many rows sends one row.
+    are drawn by the hash of their id; their whole texts are taken in that order as long as the
+    ``chars`` of a class last, and one that is longer than what is left is passed over. So the
+    sample has a size that does not grow with the corpus, and no text is cut. The share is over all
+    rows that may be learnt from. Of several labels for a document the greatest counts. Rows that
+    share an id are one document, learnt from one of its texts, which is drawn by hash before
+    anything is gathered; so an id with very many rows sends one row.
     """
     known = (
         labels.where(F.col(key).isNotNull() & F.col(target).isin(0, 1) & ~held_out(key, folds, fold))
@@ -178,13 +179,29 @@ def labelled_sample(
     order = [F.xxhash64("_id", F.lit(17)), F.col("_id")]
     drawn = [known.where(F.col("_label") == v).orderBy(*order).limit(per_class[v]) for v in (0, 1)]
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))
-    one = F.when(F.col("_text").isNotNull(), F.struct(F.xxhash64("_text", F.lit(17)), F.col("_text")))
+    has_text = F.col("_text").isNotNull()
+    text_hash = F.when(has_text, F.xxhash64("_text", F.lit(17)))
+    one = F.when(has_text, F.struct(text_hash.alias("hash"), F.length("_text").alias("chars")))
+    given = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    # First what each would take, then the texts of those that there is room for.
+    sizes = (
+        given.join(ids, F.col("_key") == F.col("_id"))
+        .groupBy("_id", "_label")
+        .agg(F.min(one).alias("_one"), F.xxhash64("_id", F.lit(17)).alias("_draw"))
+        .select("_id", "_label", "_draw", "_one.hash", F.coalesce("_one.chars", F.lit(0)).alias("chars"))
+        .collect()
+    )
+    left, chosen = list(chars), []
+    for r in sorted(sizes, key=lambda r: (r["_draw"], r["_id"])):
+        if r["chars"] <= left[r["_label"]]:
+            left[r["_label"]] -= r["chars"]
+            chosen.append((r["_id"], r["_label"], r["hash"]))
+    wanted = docs.sparkSession.createDataFrame(chosen, "_id long, _label int, _hash long")
+    same = (F.col("_key") == F.col("_id")) & text_hash.eqNullSafe(F.col("_hash"))
     found = (
-        docs.select(F.col(key).alias("_key"), F.substring(F.col(text), 1, chars).alias("_text"))
-        .join(ids, F.col("_key") == F.col("_id"))
+        given.join(F.broadcast(wanted), same)
         .groupBy("_id", "_label")
-        .agg(F.min(one).alias("_one"))
-        .select("_id", F.coalesce("_one._text", F.lit("")).alias("_text"), "_label")
+        .agg(F.coalesce(F.min("_text"), F.lit("")).alias("_text"))
         .collect()
     )
     # One order whatever the partitions.

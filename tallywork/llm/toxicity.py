@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from tallywork.llm.shared import added, held_out, labelled_sample, table, with_column, with_texts
 
 SAMPLE_PER_CLASS = (12_000, 3_000)  # ordinary and toxic documents to learn from, at most
-SAMPLE_CHARS = 8_000  # characters of each that are learnt from; scores read whole texts
+SAMPLE_CHARS = (36_000_000, 10_000_000)  # of their whole texts together
+PIECE, PIECES = 64, 60_000  # bytes and number of the pieces that the ordinary dictionary is trained on
 WINDOW, STEP = 256, 208  # bytes
 ORDINARY_BYTES = 8_192  # dictionary of ordinary text
 TOXIC_BYTES = 8_192  # what the toxic dictionary has besides
@@ -84,6 +86,13 @@ def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     return [w for w, _ in sorted(words.items(), key=lambda item: (-item[1], item[0]))]
 
 
+def drawn_pieces(texts: list[bytes]) -> list[bytes]:
+    """Pieces from anywhere in the texts: all of them, or about ``PIECES`` drawn by their checksum."""
+    every = -(-sum(map(len, texts)) // (PIECE * PIECES))
+    pieces = (t[i : i + PIECE] for t in texts for i in range(0, len(t), PIECE))
+    return [p for p in pieces if zlib.crc32(p) % every == 0]
+
+
 def _trained(size: int, samples: list[bytes]) -> bytes:
     """A zstandard dictionary; too few samples to train on are taken as they are."""
     try:
@@ -153,7 +162,7 @@ def train_toxicity(sample: list[tuple[str, int]], share: float | None) -> Toxici
     toxic, ordinary = ([t for t, v in learn if v == k] for k in (1, 0))
     if not toxic or not ordinary or len({v for _, v in rest}) < 2:
         return share or 0.0
-    base = _trained(ORDINARY_BYTES, [t[i : i + 64] for t in ordinary for i in range(0, min(len(t), 3_000), 64)][:60_000])
+    base = _trained(ORDINARY_BYTES, drawn_pieces(ordinary))
     words, size = [], 0
     for word in _toxic_words(toxic, ordinary):
         size += len(word)

@@ -221,10 +221,31 @@ def test_a_hot_id_gives_one_text_to_learn_from(spark):
     hot = [(7, f"text {i}") for i in range(500)] + [(7, None)] * 20
     docs = spark.createDataFrame([*hot, *((i, f"own {i}") for i in range(8, 40)), (40, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(7, 41)], "doc_id long, toxic int")
-    sample, share = labelled_sample(docs.repartition(5), labels, "toxic", 4, 9, (100, 100), 50)
+    sample, share = labelled_sample(docs.repartition(5), labels, "toxic", 4, 9, (100, 100), (9_000, 9_000))
     assert share == 0.5 and len(sample) == 34 and sum(t.startswith("text") for t, _ in sample) == 1
     assert ("", 0) in sample and {(f"own {i}", i % 2) for i in range(8, 40)} < set(sample)
-    assert sample == labelled_sample(docs.repartition(3), labels, "toxic", 4, 9, (100, 100), 50)[0]
+    assert sample == labelled_sample(docs.repartition(3), labels, "toxic", 4, 9, (100, 100), (9_000, 9_000))[0]
+
+
+def test_whole_texts_are_learnt_from_within_a_total(spark):
+    long = "long " * 2_000 + "end"
+    docs = spark.createDataFrame([(i, long if i % 10 == 3 else f"text {i}") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    sample, _ = labelled_sample(docs, labels, "toxic", 4, 9, (500, 500), (10**6, 35_000))
+    taken = [t for t, v in sample if v == 1]
+    assert taken.count(long) == 3 and sum(map(len, taken)) <= 35_000
+    assert len(taken) == 80 + 3 and {t for t in taken if t != long} == {f"text {i}" for i in range(1, 200, 2) if i % 10 != 3}
+    assert sum(v == 0 for _, v in sample) == 100
+
+
+def test_dictionary_pieces_come_from_anywhere():
+    texts = [bytes([65 + n % 26]) * 5_000 + b"%d" % n for n in range(50)]
+    assert sum(map(len, toxicity.drawn_pieces(texts))) == sum(map(len, texts))  # few: all of them
+    many = [b" ".join(b"%d" % (n * 7919 + k) for k in range(1_000)) for n in range(1_200)]
+    drawn = toxicity.drawn_pieces(many)
+    assert 0.7 * toxicity.PIECES < len(drawn) < 1.3 * toxicity.PIECES
+    places = {(t.find(p) > len(t) // 2) for t, p in ((t, p) for t in many[:30] for p in drawn if p in t)}
+    assert places == {True, False}
 
 
 def test_toxic_words_are_told_apart(spark):
