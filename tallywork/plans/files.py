@@ -13,6 +13,7 @@ from tallywork.sources.readers import (
     bind,
     load_or_empty,
     read_csv,
+    read_csv_guessed,
     read_json,
     read_parquet,
     split_malformed,
@@ -149,6 +150,28 @@ def _payment_file(t: Tables) -> str:
     return path
 
 
+@query(
+    "src_csv_guessed",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 5 THEN o_custkey + 0.25 ELSE o_custkey END::DOUBLE AS amount,
+           CASE WHEN o_orderkey % 991 = 7 THEN 'none' ELSE CAST(o_custkey AS VARCHAR) END AS code, o_orderstatus
+    FROM orders
+    """,
+)
+def src_csv_guessed(t: Tables) -> DataFrame:
+    # Few values are no whole numbers or no numbers at all, so a sample of the files misses them.
+    path = scratch_path(t.spark, "orders-csv")
+    rows = t.orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 997 == 5, F.concat("o_custkey", F.lit(".25"))).otherwise(F.col("o_custkey").cast("string")).alias("amount"),
+        F.when(F.col("o_orderkey") % 991 == 7, "none").otherwise(F.col("o_custkey").cast("string")).alias("code"),
+        "o_orderstatus",
+    )
+    write_csv(rows.repartition(16, "o_orderkey"), path)
+    found = read_csv_guessed(t.spark, path, scratch_path(t.spark, "orders-typed"), sample_files=2)
+    return found.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 @query(
     "src_csv_quarantine",
     f"""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,60 @@ def read_csv(
     return reader.csv(path)
 
 
+SAMPLE_FILES = 8  # of a folder, by which types are first guessed
+
+
+def _wider(one: T.DataType, other: T.DataType) -> T.DataType | None:
+    """The type that inference gives a column with values of both; None where that is not plain."""
+    if one == other:
+        return one
+    pair = {one.typeName(), other.typeName()}
+    if pair == {"integer", "long"}:
+        return T.LongType()
+    if pair <= {"integer", "long", "double"}:
+        return T.DoubleType()
+    if pair == {"date", "timestamp"}:
+        return T.TimestampType()
+    return T.StringType() if "string" in pair else None
+
+
+def read_csv_guessed(spark: SparkSession, path: str, target: str, sep: str = ",", sample_files: int = SAMPLE_FILES) -> DataFrame:
+    """CSV with the types that inference over all files gives, mostly from one read of them.
+
+    Types are guessed from a few files, drawn by their names. All files are then read with these
+    types and written to ``target`` as Parquet; that pass also counts the lines that do not fit.
+    If there are any, only these lines are inferred anew, the types widened, and the pass
+    repeated, which happens once for each wider type at most. A column without values in the
+    guess, or of types that do not widen plainly, is left to full inference.
+    """
+    files = spark.read.text(path).inputFiles()
+    drawn = sorted(files, key=lambda f: hashlib.md5(f.encode()).hexdigest())[:sample_files]
+    sample = read_csv(spark, drawn, infer=True, sep=sep)
+    schema = sample.schema
+    filled = sample.agg(*[F.count(f"`{c}`") for c in sample.columns]).first()
+    if not all(filled):
+        schema = read_csv(spark, path, infer=True, sep=sep).schema
+    line = "_unfitting_line"
+    while True:
+        reader = spark.read.option("header", True).option("sep", sep).option("columnNameOfCorruptRecord", line)
+        reader = reader.option("timestampNTZFormat", NTZ_FORMAT)
+        rows = reader.schema(T.StructType([*schema, T.StructField(line, T.StringType())])).csv(path)
+        seen = Observation()
+        rows.observe(seen, F.count(line).alias("unfitting")).write.mode("overwrite").parquet(target)
+        written = spark.read.schema(rows.schema).parquet(target)
+        if not seen.get["unfitting"]:
+            return written.drop(line)
+        lines = f"{target}-lines"
+        written.where(F.col(line).isNotNull()).select(line).write.mode("overwrite").text(lines)
+        more = spark.read.option("inferSchema", True).option("sep", sep).option("timestampNTZFormat", NTZ_FORMAT).csv(lines).schema
+        wider = [_wider(a.dataType, b.dataType) for a, b in zip(schema, more)]
+        if len(more) != len(schema) or None in wider or wider == [f.dataType for f in schema]:
+            # Lines with fields missing or too many, or types beyond the plain ones.
+            schema = read_csv(spark, path, infer=True, sep=sep).schema
+            return read_csv(spark, path, schema=schema, sep=sep)
+        schema = T.StructType([T.StructField(f.name, kind) for f, kind in zip(schema, wider)])
+
+
 def split_malformed(
     spark: SparkSession, path: str | list[str], schema: T.StructType, target: str, sep: str = ","
 ) -> tuple[DataFrame, DataFrame]:

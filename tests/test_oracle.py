@@ -45,7 +45,7 @@ def test_query_gives_the_rows_of_its_sql(spark, connection, name):
 
 def test_entry_and_names():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
-    assert len(REGISTRY) == 156 and set(REGISTRY) <= set(entry_module.queries())
+    assert len(REGISTRY) == 157 and set(REGISTRY) <= set(entry_module.queries())
 
 
 def test_entry_runs(spark):

@@ -14,6 +14,7 @@ from tallywork.sources.readers import (
     bind,
     load_or_empty,
     read_csv,
+    read_csv_guessed,
     read_json,
     read_parquet,
     split_malformed,
@@ -191,3 +192,34 @@ def test_files_with_good_or_bad_lines_only(spark, tmp_path):
         path.write_text(f"dest_country_name,origin_country_name,count\n{line}\n", encoding="utf-8")
         parts = split_malformed(spark, str(path), FLIGHT_SCHEMA, scratch_path(spark, "split"))
         assert tuple(p.count() for p in parts) == counts
+
+
+@pytest.mark.parametrize(
+    "odd",
+    ["7", "3000000000", "2.5", "word", "2011-12-05", "2011-12-05 08:30:00", "", "true"],
+)
+@pytest.mark.parametrize("usual", ["1", "0.5", "2011-12-05", "x"])
+def test_guessed_types_are_those_of_full_inference(spark, tmp_path, odd, usual):
+    for n in range(6):
+        value = odd if n == 3 else usual
+        (tmp_path / f"part-{n}.csv").write_text(f"a,b\n{n},{usual}\n{n},{value}\n", encoding="utf-8")
+    guessed = read_csv_guessed(spark, str(tmp_path), scratch_path(spark, "typed"), sample_files=1)
+    full = read_csv(spark, str(tmp_path), infer=True)
+    assert guessed.dtypes == full.dtypes
+    assert rows(guessed) == rows(full)
+
+
+def test_guess_reads_the_files_once_if_it_fits(spark, tmp_path):
+    path = scratch_path(spark, "numbers")
+    spark.range(1_000).selectExpr("id", "id * 0.5 AS half").repartition(8).write.option("header", True).csv(path)
+    guessed = read_csv_guessed(spark, path, scratch_path(spark, "typed"), sample_files=2)
+    assert dict(guessed.dtypes) == {"id": "int", "half": "double"}
+    assert "FileScan parquet" in plan(guessed, "simple") and guessed.count() == 1_000
+
+
+def test_guess_leaves_odd_files_to_full_inference(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,\n2,\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("a,b\n3,4\n5,6,7\n", encoding="utf-8")
+    for files in (1, 2):
+        guessed = read_csv_guessed(spark, str(tmp_path), scratch_path(spark, "typed"), sample_files=files)
+        assert guessed.dtypes == read_csv(spark, str(tmp_path), infer=True).dtypes and guessed.count() == 4
