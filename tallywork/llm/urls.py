@@ -139,7 +139,11 @@ def judge_urls(
     )
     order = F.struct(F.length("rule"), -F.length("rule_path"), F.col("verdict"))
     best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), order).alias("best"))
-    return located.join(best, ["host", "path"], "left").select(
+    # The hash is one more key, so that the grouped side is shuffled for this join too and a
+    # location that very many pages have can be split.
+    mark = F.xxhash64("host", "path")
+    marked = located.withColumn("_mark", mark).join(best.withColumn("_mark", mark), ["host", "path", "_mark"], "left")
+    return marked.select(
         key, "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
     )
