@@ -72,7 +72,8 @@ def read_csv_guessed(spark: SparkSession, path: str, target: str, sep: str = ","
     line = "_unfitting_line"
     while True:
         reader = spark.read.option("header", True).option("sep", sep).option("columnNameOfCorruptRecord", line)
-        reader = reader.option("timestampNTZFormat", NTZ_FORMAT)
+        # Without a pattern of its own a date takes a text with a time, and loses that silently.
+        reader = reader.option("timestampNTZFormat", NTZ_FORMAT).option("dateFormat", "yyyy-MM-dd")
         rows = reader.schema(T.StructType([*schema, T.StructField(line, T.StringType())])).csv(path)
         seen = Observation()
         rows.observe(seen, F.count(line).alias("unfitting")).write.mode("overwrite").parquet(target)
