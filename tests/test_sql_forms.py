@@ -2,9 +2,9 @@
 
 import pytest
 
-from support import same_rows
+from support import rows, same_rows
 from tallywork.plans.catalog import REGISTRY
-from tallywork.sources.tables import flights, order_totals, retail
+from tallywork.sources.tables import Tables, flights, order_totals, retail
 
 RETAIL_FORMS = {
     "agg_count_rows": "SELECT count(*) AS n FROM {retail}",
@@ -106,3 +106,28 @@ def test_a_view_name_may_start_with_a_digit(spark, tables):
 def test_literals_alone_give_one_row(spark):
     row = spark.sql("SELECT 5, 'five', 5.0").collect()
     assert len(row) == 1 and tuple(row[0])[:2] == (5, "five")
+
+
+@pytest.fixture(scope="module")
+def routes(spark, tmp_path_factory):
+    """Three nations, two customers, two suppliers: A to A twice, B to A once, A to B once."""
+    folder = str(tmp_path_factory.mktemp("routes"))
+    given = {
+        "nation": ("n_nationkey long, n_name string", [(1, "A"), (2, "B"), (3, "C")]),
+        "customer": ("c_custkey long, c_nationkey long", [(10, 1), (20, 2)]),
+        "supplier": ("s_suppkey long, s_nationkey long", [(100, 1), (200, 2)]),
+        "orders": ("o_orderkey long, o_custkey long", [(5, 10), (6, 20), (7, None)]),
+        "lineitem": (
+            "l_orderkey long, l_suppkey long",
+            [(5, 100), (5, 100), (5, 200), (6, 100), (6, None), (7, 100)],
+        ),
+    }
+    for name, (schema, values) in given.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+    return Tables(spark, folder)
+
+
+def test_all_columns_of_the_routes_and_whether_they_stay_within_a_country(routes):
+    found = REGISTRY["proj_selectexpr_star"].build(routes)
+    assert found.columns == ["dest_country_name", "origin_country_name", "count", "domestic"]
+    assert rows(found) == [("A", "A", 2, True), ("A", "B", 1, False), ("B", "A", 1, False)]
