@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywork.functions.dates import weekday
-from tallywork.operators.layout import kept, partitions_for
+from tallywork.operators.layout import partitions_for
 
 
 def with_weekday(df: DataFrame, time: str) -> DataFrame:
@@ -64,29 +64,39 @@ def fit_kmeans(
 ) -> KMeansModel:
     """Fit ``k`` centres to the feature vectors.
 
-    Every iteration reads all rows, so they are spread evenly over the cores once, whatever
-    joins left them in, and kept until the model is there.
+    Every iteration reads all rows, so they are spread evenly over the cores, whatever
+    joins left them in, in as many parts as the cores work off in whole rounds. The fit itself
+    keeps the vectors it reads (and spills them) until the model is there; were the frame kept
+    here, each iteration would decode all rows again. The row solver is named because its
+    distances keep their digits far from the origin, and choosing one takes a pass.
     """
     cores = features.sparkSession.sparkContext.defaultParallelism
-    number = max(cores, partitions_for(features, rows_per_partition))
-    with kept(features.select("features").repartition(number)) as training:
-        return KMeans(k=k, seed=seed, featuresCol="features").fit(training)
+    rounds = -(-partitions_for(features, rows_per_partition, cores) // cores)
+    training = features.select("features").repartition(rounds * cores)
+    return KMeans(k=k, seed=seed, featuresCol="features", solver="row").fit(training)
 
 
-def with_distances(model: KMeansModel, assigned: DataFrame, features: str = "features") -> DataFrame:
+def with_distances(
+    model: KMeansModel, assigned: DataFrame, features: str = "features", places: str | None = None
+) -> DataFrame:
     """The rows of ``model.transform`` with ``own_distance`` and ``least_distance``.
 
     Squared distances to the row's own centre and to the nearest of all. Whole batches of rows
     are multiplied with the matrix of the centres, which are part of the model and few; the two
     distances are then taken from the differences, so that large coordinates cost no digits. The
-    feature vectors themselves are left out.
+    feature vectors themselves are left out; ``places`` names a column that keeps them as arrays.
     """
     centres = np.array([list(c) for c in model.clusterCenters()], float)
     carried = [c for c in assigned.columns if c != features]
-    clashing = {"_places", "own_distance", "least_distance"} & set(carried)
+    values = places or "_places"
+    clashing = {values, "own_distance", "least_distance"} & set(carried)
     if clashing:
         raise ValueError(f"rename before measuring: {', '.join(sorted(clashing))}")
     fields = [assigned.schema[c] for c in carried]
+    returned = carried
+    if places:
+        fields.append(T.StructField(places, T.ArrayType(T.DoubleType())))
+        returned = [*carried, places]
     schema = T.StructType(
         [*fields, T.StructField("own_distance", T.DoubleType()), T.StructField("least_distance", T.DoubleType())]
     )
@@ -94,18 +104,21 @@ def with_distances(model: KMeansModel, assigned: DataFrame, features: str = "fea
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         half = (centres**2).sum(axis=1) / 2
         for batch in batches:
-            places = batch.column("_places").flatten().to_numpy().reshape(batch.num_rows, -1)
+            points = batch.column(values).flatten().to_numpy().reshape(batch.num_rows, -1)
             # |x - c|^2 / 2 = |x|^2 / 2 - x.c + |c|^2 / 2, and the first term is one for all centres.
-            nearest = (half - places @ centres.T).argmin(axis=1)
+            nearest = (half - points @ centres.T).argmin(axis=1)
             own = batch.column(model_column).to_numpy(zero_copy_only=False)
-            distances = [pa.array(((places - centres[at]) ** 2).sum(axis=1)) for at in (own, nearest)]
+            own_distance = ((points - centres[own]) ** 2).sum(axis=1)
+            # One distance serves for both, but for rows at the edge of two clusters.
+            least_distance, other = own_distance.copy(), own != nearest
+            least_distance[other] = ((points[other] - centres[nearest[other]]) ** 2).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in carried), *distances], names=[*carried, "own_distance", "least_distance"]
+                [*(batch.column(c) for c in returned), pa.array(own_distance), pa.array(least_distance)],
+                names=[*returned, "own_distance", "least_distance"],
             )
 
     model_column = model.getPredictionCol()
-    places = vector_to_array(features).alias("_places")
-    return assigned.select(*carried, places).mapInArrow(run, schema)
+    return assigned.select(*carried, vector_to_array(features).alias(values)).mapInArrow(run, schema)
 
 
 def cluster_costs(model: KMeansModel, features: DataFrame) -> DataFrame:

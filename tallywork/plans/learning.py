@@ -250,11 +250,9 @@ def ml_kmeans_cost(t: Tables) -> DataFrame:
     features, clusters = _clustered(t)
     size = len(clusters.clusterCenters()[0])
     place = [F.get("places", F.lit(i)) for i in range(size)]
-    assigned = clusters.transform(features).select(
-        "part", "features", "prediction", vector_to_array("features").alias("places")
-    )
+    assigned = clusters.transform(features).select("part", "features", "prediction")
     measured = (
-        with_distances(clusters, assigned)
+        with_distances(clusters, assigned, places="places")
         .groupBy("part")
         .agg(
             F.count("*").alias("n"),

@@ -4,11 +4,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from support import rows
+from tallywork.operators import clustering
 from tallywork.operators.clustering import (
     cluster_costs,
     fit_features,
@@ -102,6 +104,39 @@ def test_distances_equal_brute_force(parts, features):
     assert found == expected
 
 
+def test_a_fit_keeps_its_vectors_once_in_whole_rounds_of_the_cores(spark, monkeypatch):
+    seen = []
+
+    class Watched(KMeans):
+        def fit(self, dataset):
+            kept = dataset.storageLevel.useMemory or dataset.storageLevel.useDisk
+            seen.append((dataset.rdd.getNumPartitions(), kept, self.getSolver()))
+            return super().fit(dataset)
+
+    monkeypatch.setattr(clustering, "KMeans", Watched)
+    df = spark.createDataFrame([(Vectors.dense([float(n % 5), n % 2]),) for n in range(90)], ["features"])
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = fit_kmeans(df, k=3, rows_per_partition=10)
+    assert seen == [(16, False, "row")]
+    assert len(model.clusterCenters()) == 3
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_features_are_kept_as_arrays_on_demand(spark):
+    df = spark.createDataFrame([(n, Vectors.sparse(2, {0: float(n)})) for n in range(6)], ["n", "features"])
+    model = fit_kmeans(df, k=2, seed=1)
+    measured = with_distances(model, model.transform(df), places="places")
+    assert measured.columns == ["n", "prediction", "places", "own_distance", "least_distance"]
+    assert rows(measured, "n", "places") == [(n, [float(n), 0.0]) for n in range(6)]
+
+
+def test_distance_to_another_cluster_may_be_the_least(spark):
+    df = spark.createDataFrame([(Vectors.dense([x]),) for x in (0.0, 0.0, 10.0, 10.0)], ["features"])
+    model = fit_kmeans(df, k=2, seed=1)
+    swapped = model.transform(df).withColumn("prediction", 1 - F.col("prediction"))
+    assert rows(with_distances(model, swapped), "own_distance", "least_distance") == [(100.0, 0.0)] * 4
+
+
 def test_distances_keep_their_digits_far_from_the_origin(spark):
     rows = [(Vectors.dense([1e8 + n % 2, 5.0 * (n % 2)]),) for n in range(40)]
     df = spark.createDataFrame(rows, ["features"])
